@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import times
-from gaugeline.operators.keyed import first_per_key
+from gaugeline.operators.keyed import first_per_key, join_per_key, key_of
 from gaugeline.sources.scratch import written
 
 FILE = ["guidFile", "owner", "readingsSource"]
@@ -147,15 +147,11 @@ def topology_request(
             if entries is None
             else entries.unionByName(shaped, allowMissingColumns=True)
         )
-    sizes = entries.groupBy(*FILE).agg(
+    sizes = entries.groupBy(key_of(FILE)).agg(
         F.ceil(F.count(F.lit(1)) / max_entries).alias("_parts")
     )
-    # Null file keys form a file of their own.
-    same_file = [entries[c].eqNullSafe(sizes[c]) for c in FILE]
-    parted = entries.join(sizes, same_file, "inner").select(
-        *[entries[c] for c in FILE],
-        F.pmod(F.col("_spread"), F.col("_parts")).alias("part"),
-        *lists,
+    parted = join_per_key(entries, sizes, FILE, "inner").withColumn(
+        "part", F.pmod(F.col("_spread"), F.col("_parts"))
     )
     grouped = parted.groupBy(*FILE, "part").agg(
         *[F.array_sort(F.collect_list(name)).alias(name) for name in lists]

@@ -284,3 +284,10 @@ def order_series(
 ) -> DataFrame:
     """Rows by series and time; the range sort cuts a long series by time."""
     return df.orderBy(*series, time)
+
+
+def rows_of_series(
+    df: DataFrame, chosen: DataFrame, series: Sequence[str] = S.SERIES_KEY
+) -> DataFrame:
+    """Rows of the chosen series."""
+    return join_per_key(df, chosen.select(*series), series, "left_semi")
