@@ -33,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table whose scan has fewer tasks than the session has cores, dealt out
+    over them. Only small tables of one row group get the extra shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shown(df: DataFrame, *columns: str) -> DataFrame:
     """The wanted columns with times as text."""
     return rendered(df.select(*columns) if columns else df)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import AS_OF, READINGS, event_readings, query, shown, sql_time, table
+from catalog.base import AS_OF, READINGS, event_readings, query, shown, spread, sql_time, table
 from gaugeline import schema as S
 from gaugeline.functions import times
 from gaugeline.operators import keyed, output, quality, versioning
@@ -306,7 +306,7 @@ def c10(spark, sf):
         F.when((number > 2) & (F.col("l_returnflag") != "A"), two("l_discount")).otherwise(""),
         F.lit("'}"),
     )
-    readings = table(spark, sf, "lineitem").select(
+    readings = spread(table(spark, sf, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         F.lit("REGISTERS").alias("readingType"),

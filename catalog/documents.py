@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.base import AS_OF, READINGS, event_readings, query, shown, sql_time, table
+from catalog.base import AS_OF, READINGS, event_readings, query, shown, spread, sql_time, table
 from gaugeline import schema as S
 from gaugeline.operators.flatten import (
     DEFAULT_KINDS,
@@ -197,7 +197,7 @@ def meter_documents(spark, sf, wanted=None):
     ))
     source = F.when(li("l_returnflag") == "A", "Remote").when(
         li("l_returnflag") == "N", "LocalRF").otherwise("Phone")
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         collected.alias("_CollectionTime"),
         source.alias("_Source"),
         li("l_suppkey").cast("string").alias("_SourceIrn"),

@@ -12,12 +12,11 @@ from gaugeline.functions import fixed_values as fv
 
 def mapped(col: Column, table: dict, otherwise: Column | None = None) -> Column:
     """Value of ``table`` for the text in ``col``; ``otherwise`` (default null)
-    for texts the table does not know."""
-    pairs = list(table.items())
-    branch = F.when(col == pairs[0][0], F.lit(pairs[0][1]))
-    for key, value in pairs[1:]:
-        branch = branch.when(col == key, F.lit(value))
-    return branch if otherwise is None else branch.otherwise(otherwise)
+    for texts the table does not know. The table is one literal map, which keeps
+    the compiled code of wide rows small."""
+    literal = F.create_map(*[F.lit(item) for pair in table.items() for item in pair])
+    found = literal[col]
+    return found if otherwise is None else F.coalesce(found, otherwise)
 
 
 def source_label(source: Column) -> Column:
@@ -90,16 +89,26 @@ def multiplier_text(ke: Column) -> Column:
 def usage_value(value: Column, multiplier: Column) -> Column:
     """Reading value times every non-empty number in the multiplier map. Null
     if the value or a factor is no number or the map is missing."""
+    number = value.try_cast("double")
+
+    def times(product: Column, factor: Column) -> Column:
+        blank = factor.isNull() | (factor == "")
+        return F.when(blank, product).otherwise(product * factor.try_cast("double"))
+
+    # The map as multiplier_text writes it needs no JSON parser.
+    head, tail = "'MultiplierValues':{'ke':'", "'}"
+    single = multiplier.startswith(head) & multiplier.endswith(tail) & (
+        F.instr(multiplier, ",") == 0
+    )
+    factor = F.substring(
+        multiplier, F.lit(len(head) + 1), F.length(multiplier) - len(head) - len(tail)
+    )
     body = F.regexp_replace(multiplier, "^[^:]*:", "")
     factors = F.map_values(
         F.from_json(body, "map<string,string>", {"allowSingleQuotes": "true"})
     )
-    return F.aggregate(
-        factors,
-        value.try_cast("double"),
-        lambda product, factor: F.when(
-            factor.isNull() | (factor == ""), product
-        ).otherwise(product * factor.try_cast("double")),
+    return F.when(single, times(number, factor)).otherwise(
+        F.aggregate(factors, number, times)
     )
 
 

@@ -1,9 +1,11 @@
 """Nested documents to flat readings.
 
 Every reading kind is one specification: a section of the document, how to walk
-it, and the columns of its elements. All wanted kinds are read in a single pass:
-each document becomes one array of uniform elements, which is exploded once, so
-the XML is scanned and parsed only once however many kinds are wanted.
+it, and which raw fields its entries hold. All wanted kinds are read in a single
+pass: each document becomes one array of raw entries of one shape, which is
+exploded once, so the XML is scanned and parsed only once however many kinds are
+wanted. The functions inside the array only pick fields; every rule is a column
+expression after the explode, where Spark compiles it.
 """
 
 from __future__ import annotations
@@ -16,43 +18,35 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import normalize as norm
-from gaugeline.schema import READING_COLUMNS
+from gaugeline.schema import DOCUMENT_SCHEMA, READING_COLUMNS
 
-# What an element may set; anything else is null.
-_ELEMENT_FIELDS = [
-    "readingType", "variableId", "unitOfMeasure", "readingTime", "readingsValue",
-    "ke", "channel", "intervalSize", "logNumber", "version", "eventsCode",
-    "qualitySystem", "qualityCategorization", "qualityIndex", "dstStatus",
+# Raw text fields of an entry; a kind leaves out what it has not.
+_RAW_FIELDS = [
+    "word1", "word2", "word3", "unit", "time", "otherTime", "value", "ke", "channel",
+    "interval", "code",
 ]
+_FLAGS = (
+    DOCUMENT_SCHEMA["IntervalData"]
+    .dataType.elementType["Reading"]
+    .dataType.elementType["QualityFlags"]
+    .dataType.simpleString()
+)
 
 
 @dataclass(frozen=True)
 class Kind:
     """One reading kind. ``path`` names the section and the arrays nested in it;
-    ``element`` maps the innermost entry, its ancestors and the collection time
-    to element columns; ``keep`` drops entries that are no reading."""
+    ``raw`` picks the raw fields from the innermost entry, the entry around it
+    and the collection time. ``words`` says how many words make the variable,
+    ``keep`` which entries are readings. Kinds with a log carry log number and
+    version and need the meter."""
 
     path: tuple[str, ...]
-    element: Callable[..., dict[str, Column]]
+    reading_type: str
+    words: int
+    raw: Callable[[Column, Column | None, Column], dict[str, Column]]
     keep: Callable[[Column], Column] | None = None
-    needs_meter: bool = False
-
-
-def _element(**columns: Column) -> Column:
-    return F.struct(
-        *[
-            columns.get(name, F.lit(None)).cast("string").alias(name)
-            for name in _ELEMENT_FIELDS
-        ]
-    )
-
-
-def _words(*parts: Column) -> Column:
-    """Parts joined by blanks, null if any part is missing."""
-    spaced = [parts[0]]
-    for part in parts[1:]:
-        spaced += [F.lit(" "), part]
-    return F.concat(*spaced)
+    logged: bool = False
 
 
 def _no_factor() -> Column:
@@ -60,224 +54,258 @@ def _no_factor() -> Column:
     return F.lit("")
 
 
-def _demand(section: str, time_fallback: bool, unit=lambda uom: uom) -> Kind:
+def _demand(section: str, time_fallback: bool) -> Kind:
     spec_name = section.removesuffix("Data") + "Spec"
 
-    def element(entry, _parents, collected):
+    def raw(entry, _around, collected):
         spec, reading = entry.getField(spec_name), entry.getField("Reading")
-        taken = reading.getField("_TimeStamp")
-        uom = spec.getField("_UOM")
-        return dict(
-            readingType=F.lit(fv.REGISTERS),
-            variableId=_words(
-                uom, spec.getField("_Direction"), spec.getField("_TouBucket")
-            ),
-            unitOfMeasure=unit(uom),
-            readingTime=F.coalesce(taken, collected) if time_fallback else taken,
-            readingsValue=reading.getField("_Value"),
+        picked = dict(
+            word1=spec.getField("_UOM"),
+            word2=spec.getField("_Direction"),
+            word3=spec.getField("_TouBucket"),
+            unit=spec.getField("_UOM"),
+            time=reading.getField("_TimeStamp"),
+            value=reading.getField("_Value"),
             ke=spec.getField("_Multiplier"),
         )
+        return picked | (dict(otherTime=collected) if time_fallback else {})
 
-    return Kind((section,), element)
-
+    return Kind((section,), fv.REGISTERS, 3, raw)
 
-def _renamed(old: str, new: str) -> Callable[[Column], Column]:
-    return lambda unit: F.when(unit == old, new).otherwise(unit)
 
-
-def _demand_reset_count(entry, _parents, _collected):
+def _demand_reset_count(entry, _around, _collected):
     return dict(
-        readingType=F.lit(fv.REGISTERS),
-        variableId=F.lit("Demand Reset Count"),
-        unitOfMeasure=_renamed("Times", "Count")(entry.getField("_UOM")),
-        readingTime=entry.getField("_TimeStamp"),
-        readingsValue=entry.getField("_Count"),
+        word1=F.lit("Demand Reset Count"),
+        unit=entry.getField("_UOM"),
+        time=entry.getField("_TimeStamp"),
+        value=entry.getField("_Count"),
         ke=_no_factor(),
     )
 
 
-def _demand_reset(entry, _parents, _collected):
+def _demand_reset(entry, _around, _collected):
     return dict(
-        readingType=F.lit(fv.EVENTS),
-        variableId=F.lit("Demand Reset"),
-        unitOfMeasure=F.lit("-"),
-        readingTime=entry.getField("_TimeStamp"),
-        readingsValue=F.lit("0"),
+        word1=F.lit("Demand Reset"),
+        unit=F.lit("-"),
+        time=entry.getField("_TimeStamp"),
+        value=F.lit("0"),
         ke=_no_factor(),
     )
 
 
-def _instrumentation(entry, _parents, _collected):
-    name = entry.getField("_Name")
+def _instrumentation(entry, _around, _collected):
     return dict(
-        readingType=F.lit(fv.REGISTERS),
-        variableId=_words(name, entry.getField("_Phase")),
-        unitOfMeasure=norm.mapped(name, fv.INSTRUMENTATION_UNITS, F.lit("-")),
-        readingTime=entry.getField("_Timestamp"),
-        readingsValue=entry.getField("_Value"),
+        word1=entry.getField("_Name"),
+        word2=entry.getField("_Phase"),
+        time=entry.getField("_Timestamp"),
+        value=entry.getField("_Value"),
         ke=_no_factor(),
     )
 
 
-def _status(entry, _parents, collected):
-    value = entry.getField("_Value")
+def _status(entry, _around, collected):
     return dict(
-        readingType=F.lit(fv.EVENTS),
-        variableId=_words(entry.getField("_Category"), entry.getField("_Name")),
-        unitOfMeasure=F.lit("-"),
-        readingTime=collected,
-        readingsValue=F.when(value == "true", "0").otherwise(value),
+        word1=entry.getField("_Category"),
+        word2=entry.getField("_Name"),
+        unit=F.lit("-"),
+        time=collected,
+        value=entry.getField("_Value"),
         ke=_no_factor(),
-        logNumber=F.lit("1"),
-        version=F.lit("Original"),
-        eventsCode=entry.getField("_Id"),
+        code=entry.getField("_Id"),
     )
 
 
-def _profile_summary(entry, _parents, _collected):
+def _profile_summary(entry, _around, _collected):
     channel = entry.getField("Channel")
     return dict(
-        readingType=F.lit(fv.REGISTERS),
-        variableId=_words(channel.getField("_UOM"), channel.getField("_Direction")),
-        unitOfMeasure=channel.getField("_UOM"),
-        readingsValue=channel.getField("_SumOfIntervalValues"),
+        word1=channel.getField("_UOM"),
+        word2=channel.getField("_Direction"),
+        unit=channel.getField("_UOM"),
+        value=channel.getField("_SumOfIntervalValues"),
         ke=channel.getField("_Multiplier"),
     )
 
 
-def _outage_count(time_field: str):
-    def element(entry, _parents, _collected):
+def _outage_count(time_field: str) -> Kind:
+    def raw(entry, _around, _collected):
         count = entry.getField("OutageCount")
         return dict(
-            readingType=F.lit(fv.EVENTS),
-            variableId=F.lit("Outage count"),
-            unitOfMeasure=F.lit("Count"),
-            readingTime=count.getField(time_field),
-            readingsValue=count.getField("_Value"),
+            word1=F.lit("Outage count"),
+            unit=F.lit("Count"),
+            time=count.getField(time_field),
+            value=count.getField("_Value"),
             ke=_no_factor(),
         )
 
-    return element
+    return Kind(("OutageCountSummary",), fv.EVENTS, 1, raw)
 
 
-def _reverse_energy(entry, _parents, _collected):
+def _reverse_energy(entry, _around, _collected):
     return dict(
-        readingType=F.lit(fv.REGISTERS),
-        variableId=F.lit("Reverse energy summary"),
-        unitOfMeasure=F.lit("-"),
-        readingsValue=entry.getField("ReverseEnergy").getField("_CurrentValue"),
+        word1=F.lit("Reverse energy summary"),
+        unit=F.lit("-"),
+        value=entry.getField("ReverseEnergy").getField("_CurrentValue"),
         ke=_no_factor(),
     )
 
 
-def _event_attribute(entry, parents, _collected):
-    event = parents[-1]
+def _event_attribute(entry, event, _collected):
     return dict(
-        readingType=F.lit(fv.EVENTS),
-        variableId=entry.getField("_Name"),
-        unitOfMeasure=F.lit("-"),
-        readingTime=F.coalesce(
-            event.getField("_TimeStamp"), event.getField("_DiscoveredAt")
-        ),
-        readingsValue=entry.getField("_Value"),
+        word1=entry.getField("_Name"),
+        unit=F.lit("-"),
+        time=event.getField("_TimeStamp"),
+        otherTime=event.getField("_DiscoveredAt"),
+        value=entry.getField("_Value"),
         ke=_no_factor(),
     )
 
 
-def _interval(entry, parents, _collected):
-    spec = parents[-1].getField("IntervalSpec")
-    codes = norm.quality_codes(entry.getField("QualityFlags"))
+def _interval(entry, interval_data, _collected):
+    spec = interval_data.getField("IntervalSpec")
     return dict(
-        readingType=F.lit(fv.LOAD_PROFILE),
-        variableId=_words(spec.getField("_UOM"), spec.getField("_Direction")),
-        unitOfMeasure=spec.getField("_UOM"),
-        readingTime=entry.getField("_TimeStamp"),
-        readingsValue=entry.getField("_RawReading"),
+        word1=spec.getField("_UOM"),
+        word2=spec.getField("_Direction"),
+        unit=spec.getField("_UOM"),
+        time=entry.getField("_TimeStamp"),
+        value=entry.getField("_RawReading"),
         ke=spec.getField("_Multiplier"),
         channel=spec.getField("_Channel"),
-        intervalSize=spec.getField("_Interval"),
-        logNumber=F.lit("1"),
-        version=F.lit("Original"),
-        qualitySystem=codes.getField("system"),
-        qualityCategorization=codes.getField("categorization"),
-        qualityIndex=codes.getField("index"),
-        dstStatus=codes.getField("dst"),
+        interval=spec.getField("_Interval"),
+        flags=entry.getField("QualityFlags"),
     )
 
 
 KINDS: dict[str, Kind] = {
     "max_demand": _demand("MaxDemandData", time_fallback=True),
-    "demand_reset_count": Kind(("DemandResetCount",), _demand_reset_count),
-    "consumption": _demand(
-        "ConsumptionData", time_fallback=False, unit=_renamed("Degree", "°")
+    "demand_reset_count": Kind(
+        ("DemandResetCount",), fv.REGISTERS, 1, _demand_reset_count
     ),
+    "consumption": _demand("ConsumptionData", time_fallback=False),
     "coincident_demand": _demand("CoincidentDemandData", time_fallback=True),
     "cumulative_demand": _demand("CumulativeDemandData", time_fallback=True),
-    "demand_reset": Kind(("DemandReset",), _demand_reset),
-    "instrumentation": Kind(("InstrumentationValue",), _instrumentation),
+    "demand_reset": Kind(("DemandReset",), fv.EVENTS, 1, _demand_reset),
+    "instrumentation": Kind(("InstrumentationValue",), fv.REGISTERS, 2, _instrumentation),
     "status": Kind(
         ("Statuses", "Status"),
+        fv.EVENTS,
+        2,
         _status,
         keep=lambda entry: ~entry.getField("_Value").eqNullSafe("false"),
-        needs_meter=True,
+        logged=True,
     ),
-    "profile_summary": Kind(("LoadProfileSummary",), _profile_summary),
-    "outage_count": Kind(("OutageCountSummary",), _outage_count("_ReadingTime")),
-    "previous_outage_count": Kind(
-        ("OutageCountSummary",), _outage_count("_PreviousReadingTime")
+    "profile_summary": Kind(("LoadProfileSummary",), fv.REGISTERS, 2, _profile_summary),
+    "outage_count": _outage_count("_ReadingTime"),
+    "previous_outage_count": _outage_count("_PreviousReadingTime"),
+    "reverse_energy": Kind(("ReverseEnergySummary",), fv.REGISTERS, 1, _reverse_energy),
+    "event_attribute": Kind(
+        ("EventData", "Event", "EventAttribute"), fv.EVENTS, 1, _event_attribute
+    ),
+    "interval": Kind(
+        ("IntervalData", "Reading"), fv.LOAD_PROFILE, 2, _interval, logged=True
     ),
-    "reverse_energy": Kind(("ReverseEnergySummary",), _reverse_energy),
-    "event_attribute": Kind(("EventData", "Event", "EventAttribute"), _event_attribute),
-    "interval": Kind(("IntervalData", "Reading"), _interval, needs_meter=True),
 }
 
 # The earlier outage time is left out unless asked for: it repeats the value.
 DEFAULT_KINDS = tuple(name for name in KINDS if name != "previous_outage_count")
 
+_RAW_TYPE = (
+    "array<struct<kind:string,"
+    + ",".join(f"{name}:string" for name in _RAW_FIELDS)
+    + f",flags:{_FLAGS}>>"
+)
+
+
+def _nothing() -> Column:
+    return F.array().cast(_RAW_TYPE)
+
 
-def _walk(entries: Column, path, kind: Kind, parents, collected) -> Column:
-    """Array of elements below ``entries``, one nesting level per path step."""
+def _raw_entry(name: str, picked: dict[str, Column]) -> Column:
+    texts = [
+        picked[field].alias(field)
+        if field in picked
+        else F.lit(None).cast("string").alias(field)
+        for field in _RAW_FIELDS
+    ]
+    flags = picked.get("flags", F.lit(None).cast(_FLAGS)).alias("flags")
+    return F.struct(F.lit(name).alias("kind"), *texts, flags)
+
+
+def _walk(entries: Column, path, name: str, around: Column | None) -> Column:
+    """Array of raw entries below ``entries``, one nesting level per path step."""
+    kind = KINDS[name]
     if not path:
-        if kind.keep is not None:
-            entries = F.filter(entries, kind.keep)
+        kept = F.filter(entries, kind.keep) if kind.keep else entries
         return F.transform(
-            entries, lambda entry: _element(**kind.element(entry, parents, collected))
+            kept,
+            lambda entry: _raw_entry(name, kind.raw(entry, around, F.col("_CollectionTime"))),
         )
     deeper = F.transform(
         entries,
         lambda entry: F.coalesce(
-            _walk(entry.getField(path[0]), path[1:], kind, parents + [entry], collected),
-            _nothing(),
+            _walk(entry.getField(path[0]), path[1:], name, entry), _nothing()
         ),
     )
     return F.flatten(deeper)
 
 
-def _nothing() -> Column:
-    fields = ",".join(f"{name}:string" for name in _ELEMENT_FIELDS)
-    return F.array().cast(f"array<struct<{fields}>>")
-
-
-def _elements(kind: Kind) -> Column:
-    found = _walk(F.col(kind.path[0]), kind.path[1:], kind, [], F.col("_CollectionTime"))
-    if kind.needs_meter:
+def _entries(name: str) -> Column:
+    kind = KINDS[name]
+    found = _walk(F.col(kind.path[0]), kind.path[1:], name, None)
+    if kind.logged:
         found = F.when(F.col("Meter").isNotNull(), found)
     return F.coalesce(found, _nothing())
 
 
+def _element_columns(kinds: tuple[str, ...]) -> dict[str, Column]:
+    """The rules that turn a raw entry ``e`` into reading columns."""
+    raw = F.col("e").getField
+    kind = raw("kind")
+    by_kind = lambda value: norm.mapped(kind, {k: value(KINDS[k]) for k in kinds})
+    words = by_kind(lambda k: k.words)
+    blank = F.lit(" ")
+    one, two, three = raw("word1"), raw("word2"), raw("word3")
+    variable = (
+        F.when(words == 1, one)
+        .when(words == 2, F.concat(one, blank, two))
+        .otherwise(F.concat(one, blank, two, blank, three))
+    )
+    unit = raw("unit")
+    value = raw("value")
+    logged = by_kind(lambda k: k.logged)
+    codes = norm.quality_codes(raw("flags"))
+    return dict(
+        readingType=by_kind(lambda k: k.reading_type),
+        variableId=variable,
+        unitOfMeasure=F.when(
+            kind == "instrumentation",
+            norm.mapped(one, fv.INSTRUMENTATION_UNITS, F.lit("-")),
+        )
+        .when((kind == "demand_reset_count") & (unit == "Times"), "Count")
+        .when((kind == "consumption") & (unit == "Degree"), "°")
+        .otherwise(unit),
+        readingTime=F.coalesce(raw("time"), raw("otherTime")),
+        readingsValue=F.when((kind == "status") & (value == "true"), "0").otherwise(value),
+        ke=raw("ke"),
+        channel=raw("channel"),
+        intervalSize=raw("interval"),
+        logNumber=F.when(logged, "1"),
+        version=F.when(logged, "Original"),
+        eventsCode=raw("code"),
+        quality=codes,
+    )
+
+
 def flatten_readings(
     documents: DataFrame, kinds: Iterable[str] = DEFAULT_KINDS
 ) -> DataFrame:
     """One row per reading element of the wanted kinds, with the prefix columns
     of its document. A document without a section gives no row for it."""
-    wanted = [_elements(KINDS[name]) for name in kinds]
+    kinds = tuple(kinds)
+    wanted = [_entries(name) for name in kinds]
     together = F.concat(*wanted) if len(wanted) > 1 else wanted[0]
-    prefix = [
-        F.col(name)
-        for name in ("_Source", "_SourceIrn", "Meter", "hes", "owner", "guidFile")
-    ]
-    return documents.select(*prefix, F.explode(together).alias("element")).select(
-        *prefix, "element.*"
+    prefix = ["_Source", "_SourceIrn", "Meter", "hes", "owner", "guidFile"]
+    return documents.select(*prefix, F.explode(together).alias("e")).select(
+        *prefix, *[c.alias(name) for name, c in _element_columns(kinds).items()]
     )
 
 
@@ -286,6 +314,8 @@ def project_readings(
 ) -> DataFrame:
     """The 40 columns of a reading. Columns the documents cannot fill are null."""
     meter = F.col("Meter")
+    quality = F.col("quality").getField
+    profile = norm.device_profile(meter.getField("_MeterType"))
     nothing = F.lit(None).cast("string")
     columns = dict(
         servicePointId=norm.service_point(
@@ -297,12 +327,12 @@ def project_readings(
         meteringType=F.lit(fv.METERING_TYPE),
         readingDateSource=F.col("readingTime"),
         readingLocalTime=F.col("readingTime"),
-        dstStatus=F.col("dstStatus"),
+        dstStatus=quality("dst"),
         channel=F.col("channel"),
         unitOfMeasure=norm.uom_code(F.col("unitOfMeasure")),
-        qualityCodesSystemId=F.col("qualitySystem"),
-        qualityCodesCategorization=F.col("qualityCategorization"),
-        qualityCodesIndex=F.col("qualityIndex"),
+        qualityCodesSystemId=quality("system"),
+        qualityCodesCategorization=quality("categorization"),
+        qualityCodesIndex=quality("index"),
         intervalSize=F.col("intervalSize"),
         logNumber=F.col("logNumber"),
         version=F.col("version"),
@@ -325,7 +355,7 @@ def project_readings(
         ),
         relationStartDate=meter.getField("_InstallDate"),
         relationEndDate=meter.getField("_RemovalDate"),
-        **norm.device_profile(meter.getField("_MeterType")),
+        **profile,
     )
     return elements.select(
         *[columns.get(name, nothing).alias(name) for name in READING_COLUMNS]
