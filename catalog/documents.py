@@ -16,11 +16,11 @@ from gaugeline.operators.flatten import (
     project_readings,
 )
 from gaugeline.operators.readings import cast_readings, drop_unnamed
+from gaugeline.functions.times import time_text
 from gaugeline.sources import documents, sinks, tables
 from gaugeline.sources.scratch import fresh_path
 
 _FIELDS = {f.name: f.dataType for f in S.DOCUMENT_SCHEMA.fields}
-_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _node(kind: T.StructType, **values):
@@ -54,7 +54,7 @@ def meter_documents(spark, sf, wanted=None):
     number = li("l_linenumber")
     quantity = li("l_quantity").cast("int").cast("string")
     price = li("l_extendedprice").cast("decimal(12,2)").cast("string")
-    hour = lambda h: F.date_format(F.timestamp_add("HOUR", h, li("l_shipdate")), _FORMAT)
+    hour = lambda h: time_text(F.timestamp_add("HOUR", h, li("l_shipdate")))
     stamp, collected = hour(number), hour(F.lit(9))
     open_line = li("l_linestatus") == "O"
     lit = F.lit

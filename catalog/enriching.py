@@ -271,7 +271,7 @@ def e14(spark, sf):
 )
 def e12_all(spark, sf):
     """Times arrive as text, as the documents hold them."""
-    local = F.date_format("readingLocalTime", "yyyy-MM-dd HH:mm:ss")
+    local = times.time_text(F.col("readingLocalTime"))
     texts = event_readings(spark, sf).withColumns(
         {"readingLocalTime": local, "readingDateSource": local}
     )

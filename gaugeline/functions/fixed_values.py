@@ -126,9 +126,6 @@ RESULT_FAILED = "Failed"
 # Detail of a reading that stands for a missing interval.
 MISSING_INTERVAL_DETAIL = "{'Usage':{'IntervalsError':'Interval not exist'}}"
 
-# Text forms.
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 # Audit message envelope.
 AUDIT_TARGET = "sqs-logs"
 AUDIT_EVENT_TYPE = "pap-log.business"

@@ -1,7 +1,8 @@
 """Column rules for local time, UTC time and calendar keys.
 
 Times are ``timestamp_ntz``: a reading carries its own zone code, so the Spark
-session zone must not take part.
+session zone must not take part. Functions that would cast to the session zone
+(``date_format``, ``date_trunc``, ``timestamp_diff``) are avoided for that reason.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ def as_date(col: Column) -> Column:
 
 
 def time_text(col: Column) -> Column:
-    return F.date_format(col, fv.TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss``."""
+    return F.substring(col.cast("string"), 1, 19)
 
 
 def zone_minutes(zone: Column) -> Column:
@@ -42,7 +44,7 @@ def to_local(utc: Column, zone: Column) -> Column:
 
 def date_key(utc: Column) -> Column:
     """``yyyyMMdd``; null for a missing time (sinks write it as empty text)."""
-    return F.date_format(utc, "yyyyMMdd")
+    return F.translate(utc.cast("date").cast("string"), "-", "")
 
 
 def iso_year(day: Column) -> Column:
@@ -58,6 +60,15 @@ def week_key(utc: Column) -> Column:
     return F.concat(iso_year(utc).cast("string"), iso_week(utc).cast("string"))
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from start to end, days included."""
+    span = end - start
+    part = lambda unit: F.extract(F.lit(unit), span).cast("long")
+    return (
+        part("DAY") * 86_400 + part("HOUR") * 3_600 + part("MINUTE") * 60 + part("SECOND")
+    )
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Whole minutes from start to end, days included."""
-    return F.timestamp_diff("MINUTE", start, end)
+    return F.floor(seconds_between(start, end) / 60)

@@ -2,9 +2,9 @@
 
 A series may be as large as a third of all readings, so no step gathers one
 series in one task. Gap filling needs each reading's successor: the window runs
-over (series, time slice), and the first reading of the next slice comes from a
-per-slice minimum. With at most one reading per series and instant, which
-``resolve_duplicates`` guarantees, a slice holds no more rows than it has
+over (series, day), and the first reading of the next day comes from a
+per-day minimum. With at most one reading per series and instant, which
+``resolve_duplicates`` guarantees, a day holds no more rows than it has
 seconds. Completeness needs only sums, joined back to the rows.
 """
 
@@ -111,14 +111,13 @@ def with_next_time(
     series: Sequence[str] = S.SERIES_KEY,
     time: str = TIME,
     order: Sequence[str] = ("identReading",),
-    slice_unit: str = "day",
     name: str = "nextTime",
 ) -> DataFrame:
     """Time of the following reading of the same series, null for the last."""
-    slice_start = F.date_trunc(slice_unit, F.col(time)).cast("timestamp_ntz")
-    sliced = df.withColumn("_slice", F.struct(*series, slice_start.alias("_start")))
+    day = F.col(time).cast("date").alias("_start")
+    sliced = df.withColumn("_slice", F.struct(*series, day))
     firsts = sliced.groupBy("_slice").agg(F.min(time).alias("_first"))
-    # One row per series and slice: the calendar bounds how many a series has.
+    # One row per series and day: the calendar bounds how many a series has.
     calendar = Window.partitionBy(*[F.col("_slice").getField(s) for s in series])
     following = firsts.select(
         "_slice",
@@ -139,14 +138,13 @@ def fill_gaps(
     time: str = TIME,
     step: str = STEP,
     order: Sequence[str] = ("identReading",),
-    slice_unit: str = "day",
 ) -> DataFrame:
     """Each reading followed by one row per missing step up to the next reading.
     Gap rows copy the previous reading; ``isOriginal`` tells them apart. A
     reading without a positive interval gets no gap rows."""
-    followed = with_next_time(df, series, time, order, slice_unit)
+    followed = with_next_time(df, series, time, order)
     stride = _valid_step(F.col(step))
-    distance = F.timestamp_diff("SECOND", F.col(time), F.col("nextTime"))
+    distance = times.seconds_between(F.col(time), F.col("nextTime"))
     # Steps strictly before the next reading.
     count = F.coalesce(
         F.when(distance > 0, F.ceil(distance / (stride * 60))), F.lit(1)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gaugeline import schema as S
 from gaugeline.functions import fixed_values as fv
-from gaugeline.functions.times import time_text
 from gaugeline.sources.sinks import rendered
 
 
@@ -57,6 +56,3 @@ def route_by_type(
 def as_text(df: DataFrame) -> DataFrame:
     """Times as text, for readers that expect text columns."""
     return rendered(df)
-
-
-__all__ = ["as_text", "final_casts", "final_projection", "route_by_type", "time_text"]

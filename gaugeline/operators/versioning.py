@@ -43,8 +43,8 @@ def assign_version(
         F.col("version").try_cast("int").alias("_version"),
         *[F.col(name).alias(f"_{name}") for name in kept],
     )
-    kept_null = {name: F.lit(None).cast("string") for name in kept}
-    bare = new.withColumns({n: c for n, c in kept_null.items() if n not in new.columns})
+    missing = [name for name in (*kept, "version") if name not in new.columns]
+    bare = new.withColumns({name: F.lit(None).cast("string") for name in missing})
     matched = join_per_key(bare, known, key)
 
     versioned = ~F.col("readingType").eqNullSafe(fv.EVENTS)

@@ -29,7 +29,7 @@ def session(cores: int = 8):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", __import__("os").environ.get("SESSION_ZONE", "UTC"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
