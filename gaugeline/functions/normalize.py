@@ -36,14 +36,13 @@ def uom_code(unit: Column) -> Column:
 def device_profile(meter_type: Column) -> dict[str, Column]:
     """Device type, brand and model of a meter type."""
     names = ("deviceType", "brand", "model")
-    return {
-        name: mapped(
-            meter_type,
-            {key: row[i] for key, row in fv.DEVICE_PROFILES.items()},
-            meter_type,
-        )
-        for i, name in enumerate(names)
+    rows = {
+        key: F.struct(*[F.lit(text).alias(name) for name, text in zip(names, row)])
+        for key, row in fv.DEVICE_PROFILES.items()
     }
+    known = F.create_map(*[item for key, row in rows.items() for item in (F.lit(key), row)])
+    row = known[meter_type]
+    return {name: F.coalesce(row.getField(name), meter_type) for name in names}
 
 
 def device_status(is_active: Column) -> Column:

@@ -14,8 +14,9 @@ from gaugeline.functions import fixed_values as fv
 
 
 def as_time(col: Column) -> Column:
-    """Time text (or timestamp) to ``timestamp_ntz``; blank or bad text is null."""
-    return col.try_cast("timestamp_ntz")
+    """Time text of the form ``yyyy-MM-dd HH:mm:ss`` to ``timestamp_ntz``; blank
+    or other text is null. Times so have no fraction of a second."""
+    return F.when(F.length(col) == 19, col.try_cast("timestamp_ntz"))
 
 
 def as_date(col: Column) -> Column:
@@ -35,7 +36,7 @@ def zone_minutes(zone: Column) -> Column:
 
 
 def to_utc(local: Column, zone: Column) -> Column:
-    return F.timestamp_add("MINUTE", -zone_minutes(zone), as_time(local))
+    return F.timestamp_add("MINUTE", -zone_minutes(zone), local)
 
 
 def to_local(utc: Column, zone: Column) -> Column:

@@ -19,6 +19,10 @@ PROFILE_VARIABLE = [
     "logNumber", "channel", "intervalSize",
 ]
 OTHER_VARIABLE = PROFILE_VARIABLE[:5]
+_DEVICE = ["deviceId", "brand", "model", "deviceDescription", "deviceStatus"]
+_RELATION = [
+    "servicePointId", "deviceId", "meteringType", "relationStartDate", "relationEndDate",
+]
 
 # Low bits of a row id: the position inside its partition.
 _POSITION_BITS = (1 << 33) - 1
@@ -84,7 +88,7 @@ def distinct_devices(
     order: Sequence[str] = ("identReading",),
 ) -> DataFrame:
     """One row per device with its profile, from its first reading."""
-    columns = [*scope, "deviceId", "brand", "model", "deviceDescription", "deviceStatus"]
+    columns = [*scope, *_DEVICE]
     first = first_per_key(df.select(*columns, *order), [*scope, "deviceId"], order)
     return first.select(*columns, F.lit(fv.DEVICE_CATEGORY).alias("deviceCategory"))
 
@@ -96,7 +100,7 @@ def distinct_relations(
 ) -> DataFrame:
     """One row per service point and device with the dates of the relation."""
     key = [*scope, "servicePointId", "deviceId"]
-    columns = [*key, "meteringType", "relationStartDate", "relationEndDate"]
+    columns = [*scope, *_RELATION]
     return first_per_key(df.select(*columns, *order), key, order).select(*columns)
 
 
@@ -127,12 +131,18 @@ def topology_request(
     """Requests to the topology service: per file an owner block and the lists of
     service points, devices, relations and variables as one JSON text. A file
     with more than about ``max_entries`` entries is spread over several requests
-    (``part``), so no record grows with the file."""
+    (``part``), so no record grows with the file.
+
+    The readings are passed once, reduced to their distinct devices and
+    variables; the lists come from that small table."""
+    told = dict.fromkeys([*FILE, *_DEVICE, *_RELATION, *PROFILE_VARIABLE])
+    condensed = df.groupBy(*told).agg(F.min(F.struct(*order)).alias("_first"))
+    known = written(condensed.select(*told, "_first.*"), "topology")
     lists = {
-        "servicePoint": distinct_service_points(df, FILE),
-        "device": distinct_devices(df, FILE, order),
-        "relationDevice": distinct_relations(df, FILE, order),
-        "servicePointVariable": service_point_variables(df, FILE),
+        "servicePoint": distinct_service_points(known, FILE),
+        "device": distinct_devices(known, FILE, order),
+        "relationDevice": distinct_relations(known, FILE, order),
+        "servicePointVariable": service_point_variables(known, FILE),
     }
     entries = None
     for name, frame in lists.items():
@@ -187,7 +197,7 @@ def require_timezone(df: DataFrame) -> DataFrame:
 
 
 def add_utc(df: DataFrame) -> DataFrame:
-    """Times as timestamps, the UTC time and its date and week keys."""
+    """Time texts as timestamps, the UTC time and its date and week keys."""
     local = times.as_time(F.col("readingLocalTime"))
     timed = df.withColumns(
         {

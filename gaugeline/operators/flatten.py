@@ -1,11 +1,10 @@
 """Nested documents to flat readings.
 
 Every reading kind is one specification: a section of the document, how to walk
-it, and which raw fields its entries hold. All wanted kinds are read in a single
-pass: each document becomes one array of raw entries of one shape, which is
-exploded once, so the XML is scanned and parsed only once however many kinds are
-wanted. The functions inside the array only pick fields; every rule is a column
-expression after the explode, where Spark compiles it.
+it, and the columns of its entries. All wanted kinds are read in a single pass:
+each document becomes one array of entries of one shape, which is exploded once,
+so the XML is scanned and parsed only once however many kinds are wanted.
+Whatever does not depend on the kind is computed after the explode.
 """
 
 from __future__ import annotations
@@ -18,33 +17,26 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import normalize as norm
-from gaugeline.schema import DOCUMENT_SCHEMA, READING_COLUMNS
+from gaugeline.schema import READING_COLUMNS
 
-# Raw text fields of an entry; a kind leaves out what it has not.
-_RAW_FIELDS = [
-    "word1", "word2", "word3", "unit", "time", "otherTime", "value", "ke", "channel",
-    "interval", "code",
+# Text fields of an entry; a kind leaves out what it has not.
+_FIELDS = [
+    "variableId", "unitOfMeasure", "readingTime", "readingsValue", "ke", "channel",
+    "intervalSize", "eventsCode",
 ]
-_FLAGS = (
-    DOCUMENT_SCHEMA["IntervalData"]
-    .dataType.elementType["Reading"]
-    .dataType.elementType["QualityFlags"]
-    .dataType.simpleString()
-)
+_CODES = "struct<system:string,categorization:string,index:string,dst:string>"
 
 
 @dataclass(frozen=True)
 class Kind:
     """One reading kind. ``path`` names the section and the arrays nested in it;
-    ``raw`` picks the raw fields from the innermost entry, the entry around it
-    and the collection time. ``words`` says how many words make the variable,
-    ``keep`` which entries are readings. Kinds with a log carry log number and
-    version and need the meter."""
+    ``fields`` maps the innermost entry, the entry around it and the collection
+    time to the fields of an entry; ``keep`` says which entries are readings.
+    Kinds with a log carry log number and version and need the meter."""
 
     path: tuple[str, ...]
     reading_type: str
-    words: int
-    raw: Callable[[Column, Column | None, Column], dict[str, Column]]
+    fields: Callable[[Column, Column | None, Column], dict[str, Column]]
     keep: Callable[[Column], Column] | None = None
     logged: bool = False
 
@@ -54,258 +46,223 @@ def _no_factor() -> Column:
     return F.lit("")
 
 
-def _demand(section: str, time_fallback: bool) -> Kind:
+def _words(*parts: Column) -> Column:
+    """Parts joined by blanks, null if any part is missing."""
+    spaced = [parts[0]]
+    for part in parts[1:]:
+        spaced += [F.lit(" "), part]
+    return F.concat(*spaced)
+
+
+def _renamed(unit: Column, old: str, new: str) -> Column:
+    return F.when(unit == old, new).otherwise(unit)
+
+
+def _demand(section: str, time_fallback: bool, degrees: bool = False) -> Kind:
     spec_name = section.removesuffix("Data") + "Spec"
 
-    def raw(entry, _around, collected):
+    def fields(entry, _around, collected):
         spec, reading = entry.getField(spec_name), entry.getField("Reading")
-        picked = dict(
-            word1=spec.getField("_UOM"),
-            word2=spec.getField("_Direction"),
-            word3=spec.getField("_TouBucket"),
-            unit=spec.getField("_UOM"),
-            time=reading.getField("_TimeStamp"),
-            value=reading.getField("_Value"),
+        unit, taken = spec.getField("_UOM"), reading.getField("_TimeStamp")
+        return dict(
+            variableId=_words(
+                unit, spec.getField("_Direction"), spec.getField("_TouBucket")
+            ),
+            unitOfMeasure=_renamed(unit, "Degree", "°") if degrees else unit,
+            readingTime=F.coalesce(taken, collected) if time_fallback else taken,
+            readingsValue=reading.getField("_Value"),
             ke=spec.getField("_Multiplier"),
         )
-        return picked | (dict(otherTime=collected) if time_fallback else {})
 
-    return Kind((section,), fv.REGISTERS, 3, raw)
+    return Kind((section,), fv.REGISTERS, fields)
 
 
 def _demand_reset_count(entry, _around, _collected):
     return dict(
-        word1=F.lit("Demand Reset Count"),
-        unit=entry.getField("_UOM"),
-        time=entry.getField("_TimeStamp"),
-        value=entry.getField("_Count"),
+        variableId=F.lit("Demand Reset Count"),
+        unitOfMeasure=_renamed(entry.getField("_UOM"), "Times", "Count"),
+        readingTime=entry.getField("_TimeStamp"),
+        readingsValue=entry.getField("_Count"),
         ke=_no_factor(),
     )
 
 
 def _demand_reset(entry, _around, _collected):
     return dict(
-        word1=F.lit("Demand Reset"),
-        unit=F.lit("-"),
-        time=entry.getField("_TimeStamp"),
-        value=F.lit("0"),
+        variableId=F.lit("Demand Reset"),
+        unitOfMeasure=F.lit("-"),
+        readingTime=entry.getField("_TimeStamp"),
+        readingsValue=F.lit("0"),
         ke=_no_factor(),
     )
 
 
 def _instrumentation(entry, _around, _collected):
+    name = entry.getField("_Name")
     return dict(
-        word1=entry.getField("_Name"),
-        word2=entry.getField("_Phase"),
-        time=entry.getField("_Timestamp"),
-        value=entry.getField("_Value"),
+        variableId=_words(name, entry.getField("_Phase")),
+        unitOfMeasure=norm.mapped(name, fv.INSTRUMENTATION_UNITS, F.lit("-")),
+        readingTime=entry.getField("_Timestamp"),
+        readingsValue=entry.getField("_Value"),
         ke=_no_factor(),
     )
 
 
 def _status(entry, _around, collected):
     return dict(
-        word1=entry.getField("_Category"),
-        word2=entry.getField("_Name"),
-        unit=F.lit("-"),
-        time=collected,
-        value=entry.getField("_Value"),
+        variableId=_words(entry.getField("_Category"), entry.getField("_Name")),
+        unitOfMeasure=F.lit("-"),
+        readingTime=collected,
+        readingsValue=_renamed(entry.getField("_Value"), "true", "0"),
         ke=_no_factor(),
-        code=entry.getField("_Id"),
+        eventsCode=entry.getField("_Id"),
     )
 
 
 def _profile_summary(entry, _around, _collected):
     channel = entry.getField("Channel")
+    unit = channel.getField("_UOM")
     return dict(
-        word1=channel.getField("_UOM"),
-        word2=channel.getField("_Direction"),
-        unit=channel.getField("_UOM"),
-        value=channel.getField("_SumOfIntervalValues"),
+        variableId=_words(unit, channel.getField("_Direction")),
+        unitOfMeasure=unit,
+        readingsValue=channel.getField("_SumOfIntervalValues"),
         ke=channel.getField("_Multiplier"),
     )
 
 
 def _outage_count(time_field: str) -> Kind:
-    def raw(entry, _around, _collected):
+    def fields(entry, _around, _collected):
         count = entry.getField("OutageCount")
         return dict(
-            word1=F.lit("Outage count"),
-            unit=F.lit("Count"),
-            time=count.getField(time_field),
-            value=count.getField("_Value"),
+            variableId=F.lit("Outage count"),
+            unitOfMeasure=F.lit("Count"),
+            readingTime=count.getField(time_field),
+            readingsValue=count.getField("_Value"),
             ke=_no_factor(),
         )
 
-    return Kind(("OutageCountSummary",), fv.EVENTS, 1, raw)
+    return Kind(("OutageCountSummary",), fv.EVENTS, fields)
 
 
 def _reverse_energy(entry, _around, _collected):
     return dict(
-        word1=F.lit("Reverse energy summary"),
-        unit=F.lit("-"),
-        value=entry.getField("ReverseEnergy").getField("_CurrentValue"),
+        variableId=F.lit("Reverse energy summary"),
+        unitOfMeasure=F.lit("-"),
+        readingsValue=entry.getField("ReverseEnergy").getField("_CurrentValue"),
         ke=_no_factor(),
     )
 
 
 def _event_attribute(entry, event, _collected):
     return dict(
-        word1=entry.getField("_Name"),
-        unit=F.lit("-"),
-        time=event.getField("_TimeStamp"),
-        otherTime=event.getField("_DiscoveredAt"),
-        value=entry.getField("_Value"),
+        variableId=entry.getField("_Name"),
+        unitOfMeasure=F.lit("-"),
+        readingTime=F.coalesce(
+            event.getField("_TimeStamp"), event.getField("_DiscoveredAt")
+        ),
+        readingsValue=entry.getField("_Value"),
         ke=_no_factor(),
     )
 
 
 def _interval(entry, interval_data, _collected):
     spec = interval_data.getField("IntervalSpec")
+    unit, flags = spec.getField("_UOM"), entry.getField("QualityFlags")
     return dict(
-        word1=spec.getField("_UOM"),
-        word2=spec.getField("_Direction"),
-        unit=spec.getField("_UOM"),
-        time=entry.getField("_TimeStamp"),
-        value=entry.getField("_RawReading"),
+        variableId=_words(unit, spec.getField("_Direction")),
+        unitOfMeasure=unit,
+        readingTime=entry.getField("_TimeStamp"),
+        readingsValue=entry.getField("_RawReading"),
         ke=spec.getField("_Multiplier"),
         channel=spec.getField("_Channel"),
-        interval=spec.getField("_Interval"),
-        flags=entry.getField("QualityFlags"),
+        intervalSize=spec.getField("_Interval"),
+        quality=F.when(flags.isNotNull(), norm.quality_codes(flags)),
     )
 
 
 KINDS: dict[str, Kind] = {
     "max_demand": _demand("MaxDemandData", time_fallback=True),
-    "demand_reset_count": Kind(
-        ("DemandResetCount",), fv.REGISTERS, 1, _demand_reset_count
-    ),
-    "consumption": _demand("ConsumptionData", time_fallback=False),
+    "demand_reset_count": Kind(("DemandResetCount",), fv.REGISTERS, _demand_reset_count),
+    "consumption": _demand("ConsumptionData", time_fallback=False, degrees=True),
     "coincident_demand": _demand("CoincidentDemandData", time_fallback=True),
     "cumulative_demand": _demand("CumulativeDemandData", time_fallback=True),
-    "demand_reset": Kind(("DemandReset",), fv.EVENTS, 1, _demand_reset),
-    "instrumentation": Kind(("InstrumentationValue",), fv.REGISTERS, 2, _instrumentation),
+    "demand_reset": Kind(("DemandReset",), fv.EVENTS, _demand_reset),
+    "instrumentation": Kind(("InstrumentationValue",), fv.REGISTERS, _instrumentation),
     "status": Kind(
         ("Statuses", "Status"),
         fv.EVENTS,
-        2,
         _status,
         keep=lambda entry: ~entry.getField("_Value").eqNullSafe("false"),
         logged=True,
     ),
-    "profile_summary": Kind(("LoadProfileSummary",), fv.REGISTERS, 2, _profile_summary),
+    "profile_summary": Kind(("LoadProfileSummary",), fv.REGISTERS, _profile_summary),
     "outage_count": _outage_count("_ReadingTime"),
     "previous_outage_count": _outage_count("_PreviousReadingTime"),
-    "reverse_energy": Kind(("ReverseEnergySummary",), fv.REGISTERS, 1, _reverse_energy),
+    "reverse_energy": Kind(("ReverseEnergySummary",), fv.REGISTERS, _reverse_energy),
     "event_attribute": Kind(
-        ("EventData", "Event", "EventAttribute"), fv.EVENTS, 1, _event_attribute
-    ),
-    "interval": Kind(
-        ("IntervalData", "Reading"), fv.LOAD_PROFILE, 2, _interval, logged=True
+        ("EventData", "Event", "EventAttribute"), fv.EVENTS, _event_attribute
     ),
+    "interval": Kind(("IntervalData", "Reading"), fv.LOAD_PROFILE, _interval, logged=True),
 }
 
 # The earlier outage time is left out unless asked for: it repeats the value.
 DEFAULT_KINDS = tuple(name for name in KINDS if name != "previous_outage_count")
 
-_RAW_TYPE = (
-    "array<struct<kind:string,"
-    + ",".join(f"{name}:string" for name in _RAW_FIELDS)
-    + f",flags:{_FLAGS}>>"
+_ENTRY_TYPE = (
+    "array<struct<readingType:string,logged:boolean,"
+    + ",".join(f"{name}:string" for name in _FIELDS)
+    + f",quality:{_CODES}>>"
 )
 
 
 def _nothing() -> Column:
-    return F.array().cast(_RAW_TYPE)
+    return F.array().cast(_ENTRY_TYPE)
 
 
-def _raw_entry(name: str, picked: dict[str, Column]) -> Column:
-    texts = [
-        picked[field].alias(field)
-        if field in picked
-        else F.lit(None).cast("string").alias(field)
-        for field in _RAW_FIELDS
-    ]
-    flags = picked.get("flags", F.lit(None).cast(_FLAGS)).alias("flags")
-    return F.struct(F.lit(name).alias("kind"), *texts, flags)
+def _entry(kind: Kind, fields: dict[str, Column]) -> Column:
+    nothing = F.lit(None)
+    return F.struct(
+        F.lit(kind.reading_type).alias("readingType"),
+        F.lit(kind.logged).alias("logged"),
+        *[fields.get(name, nothing.cast("string")).alias(name) for name in _FIELDS],
+        fields.get("quality", nothing.cast(_CODES)).alias("quality"),
+    )
 
 
-def _walk(entries: Column, path, name: str, around: Column | None) -> Column:
-    """Array of raw entries below ``entries``, one nesting level per path step."""
-    kind = KINDS[name]
+def _walk(entries: Column, path, kind: Kind, around: Column | None) -> Column:
+    """Array of entries below ``entries``, one nesting level per path step."""
     if not path:
         kept = F.filter(entries, kind.keep) if kind.keep else entries
         return F.transform(
             kept,
-            lambda entry: _raw_entry(name, kind.raw(entry, around, F.col("_CollectionTime"))),
+            lambda entry: _entry(kind, kind.fields(entry, around, F.col("_CollectionTime"))),
         )
     deeper = F.transform(
         entries,
         lambda entry: F.coalesce(
-            _walk(entry.getField(path[0]), path[1:], name, entry), _nothing()
+            _walk(entry.getField(path[0]), path[1:], kind, entry), _nothing()
         ),
     )
     return F.flatten(deeper)
 
 
-def _entries(name: str) -> Column:
-    kind = KINDS[name]
-    found = _walk(F.col(kind.path[0]), kind.path[1:], name, None)
+def _entries(kind: Kind) -> Column:
+    found = _walk(F.col(kind.path[0]), kind.path[1:], kind, None)
     if kind.logged:
         found = F.when(F.col("Meter").isNotNull(), found)
     return F.coalesce(found, _nothing())
 
 
-def _element_columns(kinds: tuple[str, ...]) -> dict[str, Column]:
-    """The rules that turn a raw entry ``e`` into reading columns."""
-    raw = F.col("e").getField
-    kind = raw("kind")
-    by_kind = lambda value: norm.mapped(kind, {k: value(KINDS[k]) for k in kinds})
-    words = by_kind(lambda k: k.words)
-    blank = F.lit(" ")
-    one, two, three = raw("word1"), raw("word2"), raw("word3")
-    variable = (
-        F.when(words == 1, one)
-        .when(words == 2, F.concat(one, blank, two))
-        .otherwise(F.concat(one, blank, two, blank, three))
-    )
-    unit = raw("unit")
-    value = raw("value")
-    logged = by_kind(lambda k: k.logged)
-    codes = norm.quality_codes(raw("flags"))
-    return dict(
-        readingType=by_kind(lambda k: k.reading_type),
-        variableId=variable,
-        unitOfMeasure=F.when(
-            kind == "instrumentation",
-            norm.mapped(one, fv.INSTRUMENTATION_UNITS, F.lit("-")),
-        )
-        .when((kind == "demand_reset_count") & (unit == "Times"), "Count")
-        .when((kind == "consumption") & (unit == "Degree"), "°")
-        .otherwise(unit),
-        readingTime=F.coalesce(raw("time"), raw("otherTime")),
-        readingsValue=F.when((kind == "status") & (value == "true"), "0").otherwise(value),
-        ke=raw("ke"),
-        channel=raw("channel"),
-        intervalSize=raw("interval"),
-        logNumber=F.when(logged, "1"),
-        version=F.when(logged, "Original"),
-        eventsCode=raw("code"),
-        quality=codes,
-    )
-
-
 def flatten_readings(
     documents: DataFrame, kinds: Iterable[str] = DEFAULT_KINDS
 ) -> DataFrame:
     """One row per reading element of the wanted kinds, with the prefix columns
     of its document. A document without a section gives no row for it."""
-    kinds = tuple(kinds)
-    wanted = [_entries(name) for name in kinds]
+    wanted = [_entries(KINDS[name]) for name in kinds]
     together = F.concat(*wanted) if len(wanted) > 1 else wanted[0]
     prefix = ["_Source", "_SourceIrn", "Meter", "hes", "owner", "guidFile"]
-    return documents.select(*prefix, F.explode(together).alias("e")).select(
-        *prefix, *[c.alias(name) for name, c in _element_columns(kinds).items()]
+    return documents.select(*prefix, F.explode(together).alias("entry")).select(
+        *prefix, "entry.*"
     )
 
 
@@ -334,8 +291,8 @@ def project_readings(
         qualityCodesCategorization=quality("categorization"),
         qualityCodesIndex=quality("index"),
         intervalSize=F.col("intervalSize"),
-        logNumber=F.col("logNumber"),
-        version=F.col("version"),
+        logNumber=F.when(F.col("logged"), "1"),
+        version=F.when(F.col("logged"), "Original"),
         readingsValue=F.col("readingsValue"),
         primarySource=norm.source_label(F.col("_Source")),
         readingsSource=F.col("hes"),

@@ -92,7 +92,9 @@ def expected_grid(
             F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(_CHUNK).cast("long"))
         ),
     )
-    spread = chunked.repartition(*series, "_chunk")
+    # A fixed number: sizes before the expansion would merge all into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunked.repartition(tasks, *series, "_chunk")
     return spread.withColumn(
         "_n",
         F.explode(
