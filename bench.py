@@ -36,6 +36,7 @@ HEADLINE = [
     "c17_validate_intervals",
     "c18_series_summary",
     "a01_reading_audit",
+    "clean_accepted",
     "completeness_by_series",
 ]
 

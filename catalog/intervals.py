@@ -30,18 +30,8 @@ def profile_readings(spark, sf):
 
 _SERIES = "servicePointId, deviceId, meteringType, variableId, logNumber"
 
-PROFILE = (
-    READINGS
-    + f""",
-profile AS (SELECT * EXCLUDE (i) FROM (
- SELECT *, row_number() OVER (PARTITION BY {_SERIES}, readingUtcLocalTime
-  ORDER BY identReading) AS i,
-  qualityCodesSystemId || '-' || qualityCodesCategorization || '-' || qualityCodesIndex
-   AS quality_flag
- FROM readings WHERE readingType = 'LOAD PROFILE READING'
-  AND readingUtcLocalTime IS NOT NULL) WHERE i = 1),
-followed AS (SELECT *, lead(readingUtcLocalTime) OVER (PARTITION BY {_SERIES}
-  ORDER BY readingUtcLocalTime) AS nextTime FROM profile),
+SERIES_SQL = f"""followed AS (SELECT *, lead(readingUtcLocalTime) OVER
+  (PARTITION BY {_SERIES} ORDER BY readingUtcLocalTime) AS nextTime FROM profile),
 filled AS (SELECT * EXCLUDE (steps), unnest(steps) AS step FROM (SELECT *,
   generate_series(readingUtcLocalTime, coalesce(nextTime - INTERVAL 1 HOUR,
    readingUtcLocalTime), INTERVAL 1 HOUR) AS steps FROM followed)),
@@ -53,6 +43,19 @@ marked AS (SELECT *, step = readingUtcLocalTime AS isOriginal,
 summary AS (SELECT {_SERIES}, min(step) AS minTime, max(step) AS maxTime,
   CAST(date_diff('minute', min(step), max(step)) // 60 + 1 AS BIGINT) AS expected,
   count(intervalMark) AS actual FROM marked GROUP BY {_SERIES})"""
+
+FLAG_SQL = """qualityCodesSystemId || '-' || qualityCodesCategorization || '-' ||
+  qualityCodesIndex AS quality_flag"""
+
+PROFILE = (
+    READINGS
+    + f""",
+profile AS (SELECT * EXCLUDE (i) FROM (
+ SELECT *, row_number() OVER (PARTITION BY {_SERIES}, readingUtcLocalTime
+  ORDER BY identReading) AS i, {FLAG_SQL}
+ FROM readings WHERE readingType = 'LOAD PROFILE READING'
+  AND readingUtcLocalTime IS NOT NULL) WHERE i = 1),
+{SERIES_SQL}"""
 )
 
 

@@ -10,6 +10,7 @@ import decimal
 import math
 import sys
 import time
+from collections import Counter
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -64,7 +65,7 @@ def _plain(value):
 
 def _bag(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
+    return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
 def compare(spark, con, folder: str, name: str, run, sql: str | None):
@@ -86,9 +87,8 @@ def compare(spark, con, folder: str, name: str, run, sql: str | None):
         return "no rows"
     left, right = _bag(df.columns, mine), _bag([d[0] for d in head], theirs)
     if left != right:
-        only_left = [r for r in left[:2000] if r not in set(right)][:2]
-        only_right = [r for r in right[:2000] if r not in set(left)][:2]
-        return f"rows {len(left)} / {len(right)}: {only_left} / {only_right}"
+        only_left, only_right = list(left - right)[:2], list(right - left)[:2]
+        return f"rows {left.total()} / {right.total()}: {only_left} / {only_right}"
     return None
 
 
