@@ -172,17 +172,15 @@ def _lines(spark, sf):
 @query(
     "e09_join_relation_flags",
     """SELECT l_orderkey, l_linenumber, l_suppkey, p_size > 25 AS result_rD
- FROM lineitem JOIN part ON p_partkey = l_partkey AND p_partkey % 10 = l_suppkey % 10
- WHERE p_size % 7 <> 0""",
+ FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_type <> 'SMALL'""",
 )
 def e09(spark, sf):
-    parts = table(spark, sf, "part").filter("p_size % 7 <> 0")
-    suppliers = table(spark, sf, "supplier").select("s_suppkey")
-    relation = parts.join(
-        suppliers, F.col("p_partkey") % 10 == F.col("s_suppkey") % 10
-    ).select(
-        F.concat(F.lit("SP"), "s_suppkey").alias("servicePointId"),
-        F.concat(F.lit("M"), "p_partkey").alias("deviceId"),
+    """The relations are the pairs of supplier and part of all but one type."""
+    parts = table(spark, sf, "part").filter("p_type <> 'SMALL'")
+    pairs = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    relation = pairs.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.concat(F.lit("SP"), "l_suppkey").alias("servicePointId"),
+        F.concat(F.lit("M"), "l_partkey").alias("deviceId"),
         (F.col("p_size") > 25).alias("result_rD"),
     )
     joined = en.join_relation_flags(_lines(spark, sf), relation)
@@ -196,10 +194,10 @@ def e09(spark, sf):
 
 @query(
     "e10_join_variable_flags",
-    """SELECT l_orderkey, l_linenumber, s_acctbal > 0 AS result_sPV,
+    """SELECT l_orderkey, l_linenumber, s_acctbal > 5000 AS result_sPV,
  l_returnflag <> 'R' AS toStock, '2020-07-07T10:00:00' AS lastReadDate
  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
- WHERE s_nationkey % 5 <> 0 AND (l_returnflag <> 'N' OR l_linestatus = 'O')""",
+ WHERE s_acctbal > 1000 AND (l_returnflag <> 'N' OR l_linestatus = 'O')""",
 )
 def e10(spark, sf):
     pairs = F.array(
@@ -210,12 +208,12 @@ def e10(spark, sf):
     )
     variable = (
         table(spark, sf, "supplier")
-        .filter("s_nationkey % 5 <> 0")
+        .filter("s_acctbal > 1000")
         .withColumn("pair", F.explode(pairs))
         .select(
             "pair.*",
             F.concat(F.lit("SP"), "s_suppkey").alias("servicePointId"),
-            (F.col("s_acctbal") > 0).alias("result_sPV"),
+            (F.col("s_acctbal") > 5000).alias("result_sPV"),
             (F.col("pair.variableId") != "R").alias("toStock"),
             F.lit("2020-07-07T10:00:00").alias("lastReadDate"),
         )

@@ -33,9 +33,7 @@ def _enriched(spark, sf):
 
 def _stored(spark, sf):
     number = F.col("identReading")
-    return event_readings(spark, sf).filter(
-        F.col("servicePointTimeZone").cast("int") < 40
-    ).select(
+    return event_readings(spark, sf).filter("variableId <> 'view'").select(
         *S.VERSION_KEY,
         "readingType",
         F.when(number % 2 == 0, F.col("readingsValue")).otherwise("99").alias("readingsValue"),
@@ -71,7 +69,7 @@ ranked AS (SELECT *, row_number() OVER
 counted AS (SELECT *, count(*) OVER (PARTITION BY {_KEY}) AS n FROM ranked WHERE i = 1),
 stored AS (SELECT {_VERSION_KEY}, CASE WHEN identReading % 2 = 0 THEN readingsValue
    ELSE '99' END AS storedValue, CAST(identReading % 4 + 1 AS INTEGER) AS storedVersion
- FROM readings WHERE CAST(servicePointTimeZone AS INTEGER) < 40
+ FROM readings WHERE variableId <> 'view'
   AND readingType <> 'EVENTS'
   AND readingUtcLocalTime >= (SELECT min(readingUtcLocalTime) FROM flagged
    WHERE reason IS NULL AND readingType <> 'EVENTS')),
