@@ -6,9 +6,10 @@ by windows over a whole key; and rows join per-key results on equality, where
 adaptive execution splits an oversized partition of the row side over many
 tasks. Small right sides are broadcast by Spark's own size check only.
 
-Keys travel as one struct. Two structs are equal when their fields are, nulls
-included, so a plain equality join treats null keys alike and a table grouped by
-the struct joins on it without another shuffle.
+Keys are joined as one struct. Two structs are equal when their fields are, nulls
+included, so a plain equality join treats null keys alike. Per-key tables are
+grouped by the plain columns on purpose: the struct then needs a shuffle of that
+(small) table, and only a join of two fresh shuffles can be split by Spark.
 """
 
 from __future__ import annotations
@@ -57,19 +58,15 @@ def first_per_key(
 def join_per_key(
     rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Rows with the columns of ``per_key``, which has one row per key and holds
-    the key either as its columns or as the struct ``_key``."""
-    if KEY not in per_key.columns:
-        per_key = per_key.select(
-            key_of(keys), *[name for name in per_key.columns if name not in keys]
-        )
-    return rows.withColumn(KEY, key_of(keys)).join(per_key, KEY, how).drop(KEY)
+    """Rows with the columns of ``per_key``, which has one row per key."""
+    others = [name for name in per_key.columns if name not in keys]
+    keyed = per_key.select(key_of(keys), *others)
+    return rows.withColumn(KEY, key_of(keys)).join(keyed, KEY, how).drop(KEY)
 
 
 def anti_join(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``other``; null keys match null keys."""
-    taken = other.select(key_of(keys)).distinct()
-    return join_per_key(rows, taken, keys, "left_anti")
+    return join_per_key(rows, other.select(*keys).distinct(), keys, "left_anti")
 
 
 def set_difference(df: DataFrame, other: DataFrame) -> DataFrame:

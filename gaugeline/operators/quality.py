@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gaugeline import schema as S
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions.times import as_date
-from gaugeline.operators.keyed import KEY, first_per_key, join_per_key, key_of
+from gaugeline.operators.keyed import first_per_key, join_per_key
 from gaugeline.settings import Settings
 
 REASON = "rejectReason"
@@ -105,10 +105,10 @@ def duplicate_report(
 def conflicting_keys(
     df: DataFrame, key: Sequence[str] = S.CONFLICT_KEY, value: str = "readingsValue"
 ) -> DataFrame:
-    """Keys (as struct ``_key``) with more than one distinct value, null being a
-    value of its own. Two extremes and two counts tell, so a key with countless
-    values still reduces to one small row per map task."""
-    bounds = df.groupBy(key_of(key)).agg(
+    """Keys with more than one distinct value, null being a value of its own. Two
+    extremes and two counts tell, so a key with countless values still reduces
+    to one small row per map task."""
+    bounds = df.groupBy(*key).agg(
         F.min(value).alias("_low"),
         F.max(value).alias("_high"),
         F.count(value).alias("_known"),
@@ -117,7 +117,7 @@ def conflicting_keys(
     differ = (F.col("_low") != F.col("_high")) | (
         (F.col("_known") > 0) & (F.col("_known") < F.col("_all"))
     )
-    return bounds.filter(differ).select(KEY)
+    return bounds.filter(differ).select(*key)
 
 
 def reject_conflicts(

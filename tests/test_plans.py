@@ -1,11 +1,11 @@
 """What the physical plans must show for large data."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalog.base import event_readings
-from gaugeline.operators import intervals as iv
-from gaugeline.operators import quality, versioning
-from gaugeline.operators.keyed import first_per_key, join_per_key
+from gaugeline.operators import enrich, intervals as iv
+from gaugeline.operators import keyed, quality, versioning
 from gaugeline.sources import tables
 
 
@@ -27,31 +27,92 @@ def test_copies_combine_before_the_shuffle(spark):
     assert "Window" not in text
 
 
-def test_hot_key_join_is_split(spark):
-    """A key with most rows is cut into several tasks on the row side."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-    for name, value in settings.items():
+SPLIT_EARLY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
+@pytest.fixture
+def split_early(spark):
+    """Adaptive skew handling at test sizes."""
+    for name, value in SPLIT_EARLY.items():
         spark.conf.set(name, value)
-    try:
-        rows = spark.range(0, 200_000, numPartitions=8).select(
-            F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id")).alias("k"),
-            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
-        )
-        per_key = first_per_key(rows, ["k"], copies="n").select("k", "n")
-        joined = join_per_key(rows, per_key, ["k"])
-        totals = joined.groupBy("n").count()
-        assert {(r.n, r["count"]) for r in totals.collect()} == {(180_000, 180_000), (1, 20_000)}
-        assert "skew=true" in plan(totals)
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
+    yield
+    for name in SPLIT_EARLY:
+        spark.conf.unset(name)
+
+
+def hot_readings(spark, rows=100_000):
+    """One key has most readings: many instants, or many values at one instant."""
+    number = F.col("id")
+    hot = number % 10 < 8
+    return spark.range(0, rows, numPartitions=8).select(
+        F.when(hot, "HOT").otherwise(F.concat(F.lit("P"), number)).alias("servicePointId"),
+        F.lit("D").alias("deviceId"),
+        F.lit("MAIN").alias("meteringType"),
+        F.lit("V").alias("variableId"),
+        F.lit(None).cast("int").alias("logNumber"),
+        F.lit("LOAD PROFILE READING").alias("readingType"),
+        F.lit("HES").alias("readingsSource"),
+        F.lit("OWNER").alias("owner"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("readingLocalTime"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("readingUtcLocalTime"),
+        number.cast("string").alias("readingsValue"),
+        number.alias("identReading"),
+        F.lit(15).alias("intervalSize"),
+        F.lit("1").alias("intervalMark"),
+        F.sha2(number.cast("string"), 256).alias("payload"),
+    )
+
+
+def _conflicts(df):
+    return quality.resolve_duplicates(df)
+
+
+def _conflicts_only(df):
+    return quality.reject_conflicts(df)
+
+
+def _versions(df):
+    kept = {c: F.lit("x") for c in versioning._KEPT}
+    stored = df.filter("identReading % 10 > 6").withColumns({"version": F.lit(1), **kept})
+    return versioning.assign_version(df, versioning.latest_version(stored))
+
+
+def _relations(df):
+    relation = df.select("servicePointId", "deviceId").distinct()
+    return enrich.join_relation_flags(df, relation.withColumn("result_rD", F.lit(True)))
+
+
+def _variables(df):
+    variable = df.select("variableId", "servicePointId", "readingType").distinct()
+    flags = {"result_sPV": F.lit(True), "toStock": F.lit(True), "lastReadDate": F.lit("")}
+    return enrich.join_variable_flags(df, variable.withColumns(flags))
+
+
+def _validation(df):
+    return iv.validate_intervals(df, iv.series_summary(df))
+
+
+def _anti(df):
+    return keyed.anti_join(df, df.filter("servicePointId <> 'HOT'"), ["servicePointId", "deviceId"])
+
+
+@pytest.mark.parametrize(
+    "step",
+    [_conflicts, _conflicts_only, _versions, _relations, _variables, _validation, _anti],
+)
+def test_hot_key_join_is_split(spark, split_early, step):
+    """A key with most rows is cut into several tasks on the row side."""
+    joined = step(hot_readings(spark))
+    total = joined.agg(F.count("payload"), F.max("payload"))
+    assert total.collect()[0][0] == (80_000 if step is _anti else 100_000)
+    assert "skew=true" in plan(total)
 
 
 def test_next_time_shuffles_rows_once(spark):

@@ -276,7 +276,7 @@ def test_conflicts_count_null_as_value(spark):
         "k string, readingsValue string",
     )
     found = quality.conflicting_keys(df, ["k"]).collect()
-    assert sorted(r._key.k for r in found) == ["b", "d"]
+    assert sorted(r.k for r in found) == ["b", "d"]
 
 
 def test_dedupe_is_idempotent(spark):
