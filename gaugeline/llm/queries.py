@@ -7,10 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import exact_dedup, pii
+from gaugeline.llm import decontaminate, exact_dedup, language, pii, token_counts
 from gaugeline.llm.common import documents
 from gaugeline.llm.sql import EXACT_DEDUP_SQL, pii_sql
 
+def tokenizer_file(name: str) -> str:
+    """Where the installed vocabulary files are."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,6 +37,22 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(documents(spark, sf_dir))
 
 
+@query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.train(docs))
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("op10_exact_dedup", EXACT_DEDUP_SQL)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))

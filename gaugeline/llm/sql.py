@@ -25,14 +25,14 @@ _PII = (
 )
 
 _CONFIRMED = """CASE kind
-    WHEN 'ip' THEN list_max(list_transform(string_split(found, '.'), p -> CAST(p AS HUGEINT))) <= 255
+    WHEN 'ip' THEN list_max(list_transform(string_split(found, '.'), lambda p: CAST(p AS HUGEINT))) <= 255
     WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(
-        range(length(digits)), i -> CASE WHEN i % 2 = 0 THEN CAST(digits[length(digits) - i] AS INT)
+        range(length(digits)), lambda i: CASE WHEN i % 2 = 0 THEN CAST(digits[length(digits) - i] AS INT)
         ELSE (2 * CAST(digits[length(digits) - i] AS INT)) // 10 + (2 * CAST(digits[length(digits) - i] AS INT)) % 10 END)) % 10 = 0
     WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
     WHEN 'iban' THEN length(bare) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(
-        string_split(bare[5:] || bare[:4], ''), c -> CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS INT))),
-        (r, c) -> (CASE WHEN c < 10 THEN r * 10 ELSE r * 100 END + c) % 97) = 1
+        string_split(bare[5:] || bare[:4], ''), lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS INT))),
+        lambda r, c: (CASE WHEN c < 10 THEN r * 10 ELSE r * 100 END + c) % 97) = 1
     ELSE TRUE END"""
 
 
@@ -49,7 +49,7 @@ hits AS (
 {parts}),
 each AS (
   SELECT doc_id, text, kind, ord, score, bonus, words, may_lead, hits[i] AS found,
-         list_sum(list_transform(gaps[1:i], g -> length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], h -> length(h))), 0) AS pos
+         list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda h: length(h))), 0) AS pos
   FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM hits WHERE len(hits) > 0)),
 checked AS (
   SELECT *, regexp_replace(found, '[^0-9]', '', 'g') AS digits, regexp_replace(found, '[^A-Z0-9]', '', 'g') AS bare FROM each),
