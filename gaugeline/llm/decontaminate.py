@@ -132,15 +132,14 @@ def tile(runs: list[tuple[int, int, int]], size: int) -> tuple[int, int]:
     return len(in_item), tiles
 
 
-def blocks(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> list:
-    """Broadcast blocks of items."""
+def blocks(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> list[Items]:
+    """The items in blocks, each of bounded size."""
     rows = id_and_text(benchmark, item_col, text_col)
     chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     count = max(1, math.ceil(chars / BLOCK_CHARS))
-    context = benchmark.sparkSession.sparkContext
     shares = rows.withColumn("_share", F.pmod(F.xxhash64("doc_id"), F.lit(count)))
     return [
-        context.broadcast(Items([tuple(r) for r in shares.filter(F.col("_share") == n).drop("_share").collect()], size))
+        Items([tuple(r) for r in shares.filter(F.col("_share") == n).drop("_share").collect()], size)
         for n in range(count)
     ]
 
@@ -163,7 +162,7 @@ def contaminated(
             rows = []
             for doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 for block in parts:
-                    for item, total, matched, tiles in block.value.leaks(text):
+                    for item, total, matched, tiles in block.leaks(text):
                         if matched >= coverage * total:
                             rows.append((doc, item, total, matched, tiles, matched / total))
             if rows:
@@ -191,7 +190,7 @@ def drop_contaminated(
     def keep(batches):
         for part in slices(batches):
             clean = [
-                not any(m >= coverage * n for b in parts for _, n, m, _ in b.value.leaks(text or ""))
+                not any(m >= coverage * n for b in parts for _, n, m, _ in b.leaks(text or ""))
                 for text in part.column(text_col).to_pylist()
             ]
             yield part.filter(pa.array(clean, pa.bool_()))

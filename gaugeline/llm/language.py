@@ -207,10 +207,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches):
-        predict = predictor(shared.value)
+        predict = predictor(model)
         for part in slices(batches):
             names, scores = predict(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
@@ -227,13 +225,11 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
     """The documents, all columns, whose language is known with at least this score.
     Without a model nothing is told apart and every text with a letter stays."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches):
-        predict = predictor(shared.value)
+        predict = predictor(model)
         for part in slices(batches):
             texts = part.column(text_col).to_pylist()
-            if shared.value is None:
+            if model is None:
                 stays = [bool(t and _LETTER.search(t)) for t in texts]
             else:
                 names, scores = predict(texts)

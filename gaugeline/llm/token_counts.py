@@ -4,8 +4,8 @@ A text is cut where white space follows something else. Byte-level BPE
 (``ByteLevel`` with its own pattern and no prefix space) never joins characters
 over such a place, so the counts of the pieces add up to the count of the text.
 The first tier is a compact table of frequent pieces and their token counts: one
-text of all pieces and one byte per count, sent to the tasks and unpacked once per
-Python worker. Pieces that are not in it go to the second tier, a cache per worker
+text of all pieces and one byte per count, sent to the tasks and unpacked by each.
+Pieces that are not in it go to the second tier, a cache per task
 that the tokenizer fills and that is emptied at ``CACHE_PIECES``. Nothing is
 shuffled but the piece counts of the bounded sample that fills the first tier.
 
@@ -44,7 +44,6 @@ CACHED_CHARS = 256
 
 _PIECES = re.compile(r"\s*\S+|\s+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-_WORKER: dict[str, tuple] = {}
 
 
 def pieces(text: str) -> list[str]:
@@ -129,17 +128,12 @@ def token_counts(
     tokenizer's file, which every executor must have at the same place."""
     rows = id_and_text(docs, id_col, text_col)
     names, counts = frequent_pieces(rows, path)
-    table = docs.sparkSession.sparkContext.broadcast((names, counts))
 
     def count(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        key = f"{path}#{table.value[0][:64]}#{len(table.value[1])}"
-        if key not in _WORKER:
-            _WORKER.clear()
-            _WORKER[key] = _Counter(path, *table.value)
-        counter = _WORKER[key]
+        counter = _Counter(path, names, counts)
         for part in slices(batches):
             n = counter.count(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
