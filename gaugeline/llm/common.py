@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeline.sources.scratch import written  # noqa: F401
@@ -38,3 +38,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def bounded_sample(rows: DataFrame, size: int, label: str | None = None) -> list:
+    """Of ``doc_id`` (and ``label``), the ``size`` rows of each label with the smallest
+    hash of their id. Labels are a few classes. Counts over all rows give a bound for
+    the hash under which twice as many rows are expected, so that what is ranked
+    does not grow with the table."""
+    rows = rows.filter(F.col("doc_id").isNotNull())
+    rows = rows.withColumn("_label", F.col(label) if label else F.lit(0))
+    places = 1 << 40
+    bound = F.lit(0)
+    for value, count in ((r[0], r[1]) for r in rows.groupBy("_label").count().collect()):
+        most = places if count <= 4 * size else 2 * size * places // count
+        bound = F.when(F.col("_label").eqNullSafe(F.lit(value)), F.lit(most)).otherwise(bound)
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    few = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(places)) < bound)
+    picked = few.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= size)
+    return [tuple(r) for r in picked.select("doc_id", *([label] if label else [])).collect()]

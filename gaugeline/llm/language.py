@@ -27,10 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import crc_third, slices
+from gaugeline.llm.common import bounded_sample, crc_third, slices
 
 WINDOW = 2048
 MAX_N = 3
@@ -128,10 +128,8 @@ def sample_windows(docs: DataFrame, labels: Column, id_col: str, text_col: str)
     """(language, packed presence) of the bounded sample; the texts stay on the executors."""
     narrow = docs.select(
         F.col(id_col).alias("doc_id"), labels.alias("label"), crc_third(id_col).alias("third")
-    ).filter((F.col("third") != 1) & F.col("label").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = narrow.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS)
-    ids = [r[0] for r in picked.select("doc_id").distinct().collect()]
+    ).filter((F.col("third") != 1) & F.col("label").isNotNull())
+    ids = sorted({r[0] for r in bounded_sample(narrow, SAMPLE_DOCS, "label")})
 
     def cut(batches):
         for part in slices(batches):

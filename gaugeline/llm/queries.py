@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import decontaminate, exact_dedup, language, pii, token_counts
+from gaugeline.llm import decontaminate, exact_dedup, language, pii, quality, secrets, token_counts
 from gaugeline.llm.common import documents
 from gaugeline.llm.sql import EXACT_DEDUP_SQL, pii_sql
 
@@ -43,11 +43,22 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(documents(spark, sf_dir))
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.quality(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @query("op9_decontaminate")
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

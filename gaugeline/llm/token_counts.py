@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import id_and_text, slices
+from gaugeline.llm.common import bounded_sample, id_and_text, slices
 
 FREQUENT = 60_000
 PIECE_CHARS = 48
@@ -107,10 +107,8 @@ def frequent_pieces(docs: DataFrame, path: str) -> tuple[str, bytes]:
             found = [p for t in batch.column(0).to_pylist() for p in pieces(t) if len(p) <= PIECE_CHARS and not _ODD_SPACE.search(p)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["piece"])
 
-    sample = (
-        docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id").alias("_order"))
-        .orderBy("_order").limit(SAMPLE_DOCS).select("text")
-    )
+    ids = [r[0] for r in bounded_sample(docs.select("doc_id"), SAMPLE_DOCS)]
+    sample = docs.filter(F.col("doc_id").isin(ids)).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     top = (
         sample.mapInArrow(cut, "piece string").groupBy("piece").count()
         .orderBy(F.desc("count"), "piece").limit(FREQUENT).select("piece").toArrow().column(0).to_pylist()
