@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import decontaminate, exact_dedup, language, pii, quality, secrets, substring_dedup, token_counts
+from gaugeline.llm import decontaminate, exact_dedup, language, near_dedup, pii, quality, secrets, substring_dedup, token_counts
 from gaugeline.llm.common import documents
 from gaugeline.llm.sql import EXACT_DEDUP_SQL, pii_sql
 
@@ -64,6 +64,11 @@ def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir), with_bytes=False).drop("kept")
 
 
+@query("op8_near_dedup")
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir))
+
+
 @query("op9_decontaminate")
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
