@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import decontaminate, exact_dedup, language, near_dedup, pii, quality, secrets, substring_dedup, token_counts
+from gaugeline.llm import decontaminate, exact_dedup, language, near_dedup, pieces, pii, quality, secrets, substring_dedup, token_counts
 from gaugeline.llm.common import documents
 from gaugeline.llm.sql import EXACT_DEDUP_SQL, pii_sql
 
@@ -53,6 +53,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query("op5_pieces")
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir), pieces.load(tokenizer_file("piece_bpe_32k.model")))
+
+
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
