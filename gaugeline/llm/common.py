@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,6 +42,12 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def worker_store() -> dict:
+    """What a Python worker keeps from task to task. Task functions are sent by value,
+    so their own module's names last for one task only."""
+    return sys.modules.setdefault("_gaugeline_worker", types.ModuleType("_gaugeline_worker")).__dict__
+
+
 def bounded_sample(rows: DataFrame, size: int, label: str | None = None) -> list:
     """Of ``doc_id`` (and ``label``), the ``size`` rows of each label with the smallest
     hash of their id. Labels are a few classes. Counts over all rows give a bound for

@@ -10,7 +10,7 @@ merging gives. Without (unigram models) the sum of scores alone decides.
 
 Pieces never join a character to a following space mark, nor anything to a character
 outside all pieces, so a text is cut there and every distinct part is encoded once per
-task; parts are encoded many at a time, position by position, with numpy. Characters
+Python worker, as long as its cache holds it; parts are encoded many at a time, position by position, with numpy. Characters
 outside all pieces become byte pieces.
 
 As the library does by default, a text gets one space mark in front, and spaces become
@@ -26,17 +26,19 @@ from __future__ import annotations
 
 import re
 from collections import deque
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import id_and_text, slices
+from gaugeline.llm.common import id_and_text, slices, worker_store
 
 MARK = "▁"
-#: Parts kept in a task before its cache is emptied.
-CACHED = 300_000
+#: Parts kept in a worker before three quarters of its cache are dropped.
+CACHED = 400_000
 #: A longer part is encoded on its own, one character after the other.
 LONG = 96
 #: Cells of the tables that are filled at once.
@@ -50,6 +52,8 @@ class Model:
 
     def __init__(self, pieces: dict[int, str], scores: dict[int, float], byte_ids: list[int], merges: bool = True):
         self.merges = merges
+        #: Equal for equal models.
+        self.name = xxhash.xxh3_128_hexdigest(repr((merges, byte_ids, sorted(pieces.items()), sorted(scores.items()))))
         self.byte_ids = byte_ids
         self.text = pieces
         self.rank = {text: -scores[i] for i, text in pieces.items()}
@@ -125,7 +129,30 @@ class Model:
 
     def may_follow(self, first: int, second: int) -> bool:
         a, b = self.text[first], self.text[second]
-        return a + b not in self.rank and self.merged(a + b) == [a, b]
+        return a + b not in self.rank and self._kept_apart(a, b)
+
+    def _kept_apart(self, a: str, b: str) -> bool:
+        """Whether merging the characters of both never merges across their border."""
+        parts, border = [*a, *b], len(a)
+        get = self.rank.get
+        ranks = [get(x + y) for x, y in zip(parts, parts[1:], strict=False)]
+        while True:
+            best, at = None, -1
+            for i, r in enumerate(ranks):
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if best is None:
+                return True
+            if at == border - 1:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < border:
+                border -= 1
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + parts[at])
+            if at < len(ranks):
+                ranks[at] = get(parts[at] + parts[at + 1])
 
 
 def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -133,7 +160,7 @@ def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes parts; one for each task."""
+    """Encodes parts; one for each Python worker."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -143,16 +170,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.cache) > CACHED:
-            self.cache.clear()
+            # The first to be met are the most frequent ones.
+            self.cache = dict(islice(self.cache.items(), CACHED // 4))
+        known = self.cache.get
         cut = [self.model.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        missing = {p for parts in cut for p in parts if p not in self.cache}
+        ids = [list(map(known, parts)) for parts in cut]
+        gaps = [i for i, found in enumerate(ids) if None in found]
+        new = self._parts(list({p for i in gaps for p, n in zip(cut[i], ids[i], strict=True) if n is None}))
         # Long parts are rarely met again and are not kept.
-        found = self._parts(list(missing))
-        self.cache.update((p, ids) for p, ids in found.items() if len(p) <= LONG)
-        known = self.cache.get
-        return [
-            np.frombuffer(b"".join([known(p) or found[p] for p in parts]), np.int32) for parts in cut
-        ]
+        self.cache.update((p, n) for p, n in new.items() if len(p) <= LONG)
+        for i in gaps:
+            ids[i] = [n or new[p] for p, n in zip(cut[i], ids[i], strict=True)]
+        return [np.frombuffer(b"".join(found), np.int32) for found in ids]
 
     def _parts(self, parts: list[str]) -> dict[str, bytes]:
         found = {p: self._one(p) for p in parts if len(p) > LONG}
@@ -248,13 +277,15 @@ class Encoder:
             ids[rows, most - count[rows]] = piece
             at[rows] -= m.length[piece]
             rows = rows[at[rows] > 0]
+        plain = ~(ids == _BYTES).any(1)
+        whole = memoryview(ids.tobytes())
+        ends = np.arange(1, size + 1) * most
         return [
-            self._with_bytes(part, row[most - n :]) for part, row, n in zip(parts, ids, count.tolist(), strict=True)
+            bytes(whole[4 * (end - n) : 4 * end]) if fine else self._with_bytes(part, ids[i, most - n :])
+            for i, (part, end, n, fine) in enumerate(zip(parts, ends.tolist(), count.tolist(), plain.tolist(), strict=True))
         ]
 
     def _with_bytes(self, part: str, ids: np.ndarray) -> bytes:
-        if not (ids == _BYTES).any():
-            return ids.tobytes()
         result, at = [], 0
         for i in ids.tolist():
             if i == _BYTES:
@@ -352,8 +383,10 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     to the text."""
 
     def run(batches):
-        encoder = Encoder(model)
-        table = piece_bytes(model)
+        store = worker_store()
+        if store.get("pieces") != model.name:
+            store.update({"pieces": model.name, "encoder": Encoder(model)})
+        encoder, table = store["encoder"], piece_bytes(model)
         for part in slices(batches):
             texts = part.column("text").to_pylist()
             ids = encoder.encode(texts)

@@ -4,8 +4,9 @@ A text is cut where white space follows something else. Byte-level BPE
 (``ByteLevel`` with its own pattern and no prefix space) never joins characters
 over such a place, so the counts of the pieces add up to the count of the text.
 The first tier is a compact table of frequent pieces and their token counts: one
-text of all pieces and one byte per count, sent to the tasks and unpacked by each.
-Pieces that are not in it go to the second tier, a cache per task
+text of all pieces and one byte per count, sent to the tasks and unpacked once per
+Python worker.
+Pieces that are not in it go to the second tier, a cache per worker
 that the tokenizer fills and that is emptied at ``CACHE_PIECES``. Nothing is
 shuffled but the piece counts of the bounded sample that fills the first tier.
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import bounded_sample, id_and_text, slices
+from gaugeline.llm.common import bounded_sample, id_and_text, slices, worker_store
 
 FREQUENT = 60_000
 PIECE_CHARS = 48
@@ -131,7 +132,10 @@ def token_counts(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = _Counter(path, names, counts)
+        store = worker_store()
+        if store.get("counts") != (path, names, counts):
+            store.update({"counts": (path, names, counts), "counter": _Counter(path, names, counts)})
+        counter = store["counter"]
         for part in slices(batches):
             n = counter.count(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
