@@ -8,16 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.llm import decontaminate, exact_dedup, language, near_dedup, pieces, pii, quality, secrets, substring_dedup, token_counts
-from gaugeline.llm.common import documents
+from gaugeline.llm.common import documents, tokenizer_file
 from gaugeline.llm.sql import EXACT_DEDUP_SQL, pii_sql
 
-def tokenizer_file(name: str) -> str:
-    """Where the installed vocabulary files are."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
