@@ -5,8 +5,8 @@ measures of the whole text: the non-negative unbiased risk is minimised, that is
 positive part weighed by the class prior, plus the larger of zero and the unlabelled
 part less the positives' share of it; a batch whose difference is below zero takes a
 step back from it instead. The prior is estimated from the labelled rows (the share
-of positives) where both labels occur there, otherwise from the mean output on
-unlabelled against held-back positive text. A logistic curve fitted on labelled rows
+of positives) where both labels occur there, otherwise from how much
+denser held-back positives are among positive than among unlabelled text. A logistic curve fitted on labelled rows
 turns the output into a score.
 
 Everything that is learnt comes from rows whose crc32(id as text) modulo 3 is not 1,
@@ -147,8 +147,9 @@ def train_net(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed:
 
 
 def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among unlabelled rows: a plain classifier of labelled against
-    unlabelled, its mean on unlabelled text over its odds on positives held back."""
+    """Share of positives among unlabelled rows. A plain classifier of labelled against
+    as many unlabelled rows gives the ratio of their densities, which is one over the
+    share where only positives are; the median on positives held back is taken."""
     half = len(positive) // 2 or 1
     rng = np.random.default_rng(1)
     net = _Net(positive.shape[1], rng)
@@ -158,8 +159,9 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
         both = np.concatenate([x, u])
         slope = (_sigmoid(net.output(both)) - np.repeat([1.0, 0.0], BATCH)) / len(both)
         net.step(net.gradient(both, slope))
-    odds = lambda rows: np.exp(np.clip(net.output(rows), -8, 8))
-    return float(np.clip(np.median(odds(unlabelled)) / max(1e-6, np.median(odds(positive[half:] if len(positive) > 1 else positive))), MARGIN, 1 - MARGIN))
+    held = positive[half:] if len(positive) > 1 else positive
+    ratio = np.exp(np.clip(np.median(net.output(held)), -8, 8))
+    return float(np.clip(1 / ratio, MARGIN, 1 - MARGIN))
 
 
 def _curve(outputs: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
