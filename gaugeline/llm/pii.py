@@ -150,9 +150,9 @@ def _spans(kind: Kind, order: int) -> Column:
             score.alias("score"),
         )
 
+    # Zipped outside the lambdas, where nothing is computed again for each element.
     pairs = F.filter(
-        F.transform(found, lambda m, i: F.struct(m.alias("found"), F.get(starts, i).alias("start"))),
-        lambda p: _confirmed(kind.name, p["found"]),
+        F.arrays_zip(found.alias("found"), starts.alias("start")), lambda p: _confirmed(kind.name, p["found"])
     )
     return F.filter(F.transform(pairs, span), lambda s: s["score"] >= ACCEPT)
 
@@ -172,9 +172,8 @@ def _gaps(kind: Kind) -> Column:
     running total is where the match starts."""
     found = F.col(f"{kind.name}_found")
     pieces = F.slice(F.split("text", kind.pattern, -1), F.lit(1), F.size(found))
-    lengths = F.transform(
-        pieces, lambda p, i: F.length(p) + F.coalesce(F.length(F.get(found, i - 1)), F.lit(0))
-    )
+    shifted = F.concat(F.array(F.lit("")), F.slice(found, F.lit(1), F.size(found) - 1))
+    lengths = F.zip_with(pieces, shifted, lambda p, m: F.length(p) + F.length(m))
     return F.when(F.size(found) == 0, F.array().cast("array<int>")).otherwise(lengths)
 
 

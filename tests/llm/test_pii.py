@@ -18,7 +18,7 @@ HARD = [
     (102, "é🙂 a@b.de 中 1.1.1.1 DE89 3704 0044 0532 0130 00 GB82WEST12345698765432 XX00ABCD1234567"),
     (103, "ssn 123-45-6789 and 123-45-6789 far " + "z" * 60 + " 123-45-6789"),
     (104, "1." * 20_000 + "a@" * 5_000 + "+1-" * 5_000),
-    (105, "1 " * 30_000 + "q" * 50_000 + "a." * 20_000),
+    (105, "1 " * 30_000 + "q" * 9_000 + "a." * 5_000),
     (106, "a@b" + ".c" * 20_000),
 ]
 
