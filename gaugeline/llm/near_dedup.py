@@ -10,10 +10,11 @@ threshold, so that a link right at it shares none with a chance of ``MISS`` at m
 A bucket (all sets with one key) never lists its pairs. Its members are compared with
 its hub, the member whose keys are shared most, so that variants of one original are
 held against the original. Confirmed links make components. Buckets whose members are
-then in several components are looked at again: ``ROUNDS`` times with further hubs,
-and what still differs after that is compared across components within the bucket,
-sizes that cannot reach the threshold left out. So every two members of a bucket are
-compared, or linked through others.
+then in several components are looked at again, with the best hub of what they hold
+(``ROUNDS`` times). The members of buckets that are still mixed are then compared
+across components, wherever they share one of their rarest shingles, as all sets do
+that reach the threshold (prefix and position filter). That drops variants that are
+too far from each other before they make pairs, and loses no link.
 
 Candidates are confirmed on the full sets, made again from the texts (64-bit hashes
 of shingles).
@@ -42,7 +43,10 @@ from gaugeline.operators.keyed import join_per_key
 
 ROWS = 2
 MISS = 2e-6
-ROUNDS = 2
+ROUNDS = 1
+#: Counters for how rare shingles are.
+SLOTS = 1 << 20
+_SLOT_SHIFT = np.uint64(44)
 _WORD_CACHE = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -202,20 +206,76 @@ def _mixed_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return join_per_key(with_label, several, ["key"], "left_semi")
 
 
-def _across(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components, sizes permitting."""
-    other = mixed.select("key", F.col("id").alias("a"), F.col("component").alias("component_a"), F.col("size").alias("size_a"))
+def _frequencies(sets: DataFrame, size: int) -> np.ndarray:
+    """How often shingles occur in ``id, packed``, by a table of ``SLOTS`` counters that
+    shingles share by their hash. It sorts shingles; no result hangs on its precision."""
+
+    def count(batches):
+        slots = np.zeros(SLOTS, np.int64)
+        for _, found in _sets(batches, size):
+            np.add.at(slots, (found >> _SLOT_SHIFT).astype(np.int64), 1)
+        used = np.flatnonzero(slots)
+        for start in range(0, len(used), 50_000):
+            part = used[start : start + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(slots[part])], names=["slot", "n"])
+
+    table = sets.select("id", "packed").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    totals = np.zeros(SLOTS, np.int64)
+    totals[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+    return np.minimum(totals, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _sets(batches, size: int):
+    """(row of its batch, set) for batches that end with a compressed text."""
+    shingler = Shingler(size)
+    expand = zstandard.ZstdDecompressor().decompress
+    for part in slices(batches):
+        head = [c.to_pylist() for c in part.columns[:-1]]
+        for i, blob in enumerate(part.column(part.num_columns - 1).to_pylist()):
+            yield tuple(c[i] for c in head), shingler(expand(blob).decode("utf-8", "surrogatepass"))
+
+
+def _across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of different components that may reach the threshold, of the sets
+    ``id, component``: two sets that do share one of their rarest shingles (prefix
+    filter), and enough may follow it (position filter)."""
+    sets = written(members.join(texts, "id").select("id", "component", "packed"), "members")
+    frequent = _frequencies(sets, size)
+
+    def rarest(batches):
+        rows = []
+        for (member, component), found in _sets(batches, size):
+            order = found[np.lexsort((found, frequent[(found >> _SLOT_SHIFT).astype(np.int64)]))]
+            prefix = order[: len(order) - -(-percent * len(order) // 100) + 1].view(np.int64).tolist()
+            rows += [(s, member, component, len(order), place) for place, s in enumerate(prefix)]
+            if len(rows) > 20_000:
+                yield _rows(rows)
+                rows = []
+        if rows:
+            yield _rows(rows)
+
+    prefixes = written(
+        sets.mapInArrow(rarest, "shingle long, id long, component long, size long, place long"), "prefixes"
+    )
+    several = prefixes.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    several = several.filter("lo <> hi").select("shingle")
+    some = written(join_per_key(prefixes, several, ["shingle"], "left_semi"), "prefixes")
+    other = some.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("id", "component", "size", "place")])
+    follow = F.least(F.col("size") - F.col("place"), F.col("size_a") - F.col("place_a"))
+    enough = (100 + percent) * follow >= percent * (F.col("size") + F.col("size_a"))
     return (
-        mixed.join(other, "key")
-        .filter(
-            (F.col("component_a") < F.col("component"))
-            & (100 * F.least("size", "size_a") >= percent * F.greatest("size", "size_a"))
-        )
-        .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+        some.join(other, "shingle")
+        .filter((F.col("component_a") < F.col("component")) & enough)
+        .select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b"))
         .distinct()
     )
 
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["shingle", "id", "component", "size", "place"]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+
+
 def near_dedup(
     docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -246,7 +306,8 @@ def near_dedup(
             # The best of those that have not been the hub of the bucket's component.
             new = _hub_pairs(mixed.filter(F.col("id") != F.col("component")) if turn else mixed)
         else:
-            new = _across(mixed, percent)
+            members = mixed.select("id", "component").distinct()
+            new = _across(members, packed, shingle, percent)
         new = written(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
         pairs = pairs.unionByName(new)
         found = written(confirmed(new, packed, shingle, percent), "links")
