@@ -251,7 +251,8 @@ def repeated(texts: DataFrame, source: DataFrame, unpack: bool, level: int = 0)
     ``source`` the same texts for a second look, compressed if ``unpack``."""
     rows = written(_all_runs(texts, SEEDS[level]), "runs")
     several = rows.groupBy("seed").count().filter("count > 1").select("seed")
-    rows = written(join_per_key(rows, several, ["seed"], "left_semi"), "shared-runs")
+    # By document again: the files of a hot seed would otherwise hold nothing else.
+    rows = written(join_per_key(rows, several, ["seed"], "left_semi").repartition(*KEY), "shared-runs")
     classes = rows.groupBy("seed", "region").agg(
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct(*KEY, "start", "windows")).alias("first"),
