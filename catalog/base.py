@@ -34,10 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table whose scan has fewer tasks than the session has cores, dealt out
-    over them. Only small tables of one row group get the extra shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt out evenly: each becomes a document many times its size, of which
+    the scan's split of the table knows nothing."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def shown(df: DataFrame, *columns: str) -> DataFrame:

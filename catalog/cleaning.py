@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import AS_OF, READINGS, event_readings, query, shown, spread, sql_time, table
+from catalog.base import AS_OF, READINGS, event_readings, query, shown, sql_time, table
 from gaugeline import schema as S
 from gaugeline.functions import times
 from gaugeline.operators import keyed, output, quality, versioning
@@ -169,18 +169,21 @@ def c07a_anti(spark, sf):
     return keyed.anti_join(lines, orders, ["l_orderkey", "logNumber"])
 
 
-# Stored readings: the orders of all but one priority in up to three versions;
-# new ones: all orders, some with another total, some unseen, some events.
+# Stored readings: all orders in up to three versions, a sixth under another owner,
+# some without a value or with a first version that is no number. New ones: all
+# orders, some with another total, some unseen, some events.
 _STORED_SQL = """stored AS (
  SELECT 'SP-' || o_custkey AS servicePointId, o_orderpriority AS variableId,
   CASE WHEN o_orderkey % 4 <> 0 THEN 1 END AS logNumber,
   o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS INTEGER)) AS readingUtcLocalTime,
-  'MAIN' AS meteringType, 'HES' AS readingsSource, 'OWNER-' || o_orderkey AS owner,
-  CAST(CAST(floor(o_totalprice + v) AS INTEGER) AS VARCHAR) || ' ' AS readingsValue,
-  CAST(v AS INTEGER) AS version, 'E' || v AS estimationReading,
+  'MAIN' AS meteringType, 'HES' AS readingsSource,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'FORMER-' ELSE 'OWNER-' END || o_orderkey AS owner,
+  CASE WHEN o_orderkey % 10 <> 0
+   THEN CAST(CAST(floor(o_totalprice + v) AS INTEGER) AS VARCHAR) || ' ' END AS readingsValue,
+  CASE WHEN o_orderkey % 9 = 0 AND v = 1 THEN 'none' ELSE CAST(v AS VARCHAR) END AS version, 'E' || v AS estimationReading,
   'true' AS estimationValid, NULL::VARCHAR AS editionReading, 'D' || v AS editionValid
  FROM orders, (VALUES (1), (2), (3)) AS copies(v)
- WHERE o_orderpriority <> '5-LOW' AND v <= 1 + o_orderkey % 3)"""
+ WHERE v <= 1 + o_orderkey % 3)"""
 
 _NEW_SQL = """fresh AS (
  SELECT o_orderkey AS identReading, 'SP-' || o_custkey AS servicePointId,
@@ -210,14 +213,16 @@ def _order_key(number):
 def stored_readings(spark, sf):
     number, v = F.col("o_orderkey"), F.col("v")
     versions = F.sequence(F.lit(1), (F.lit(1) + number % 3).cast("int"))
-    seen = table(spark, sf, "orders").filter("o_orderpriority <> '5-LOW'")
-    copies = seen.withColumn("v", F.explode(versions))
+    # One order in six is stored under another owner, so that it is new below.
+    copies = table(spark, sf, "orders").withColumn("v", F.explode(versions))
     return copies.select(
-        *_order_key(number),
-        F.concat(F.floor(F.col("o_totalprice") + v).cast("int"), F.lit(" ")).alias(
-            "readingsValue"
-        ),
-        v.alias("version"),
+        *_order_key(number)[:-1],
+        F.concat(F.when(number % 6 == 0, "FORMER-").otherwise("OWNER-"), number).alias("owner"),
+        F.when(
+            number % 10 != 0,
+            F.concat(F.floor(F.col("o_totalprice") + v).cast("int"), F.lit(" ")),
+        ).alias("readingsValue"),
+        F.when((number % 9 == 0) & (v == 1), "none").otherwise(v.cast("string")).alias("version"),
         F.concat(F.lit("E"), v).alias("estimationReading"),
         F.lit("true").alias("estimationValid"),
         F.lit(None).cast("string").alias("editionReading"),
@@ -243,7 +248,7 @@ def new_readings(spark, sf):
 _VERSION_KEY = """servicePointId, variableId, logNumber, readingUtcLocalTime, meteringType,
   readingsSource, owner"""
 _LATEST_SQL = f"""latest AS (SELECT * EXCLUDE (i) FROM (
- SELECT *, row_number() OVER (PARTITION BY {_VERSION_KEY} ORDER BY version DESC) AS i
+ SELECT *, row_number() OVER (PARTITION BY {_VERSION_KEY} ORDER BY TRY_CAST(version AS INTEGER) DESC NULLS LAST) AS i
  FROM stored) WHERE i = 1)"""
 
 
@@ -266,8 +271,9 @@ def c08(spark, sf):
     f"""WITH {_STORED_SQL}, {_LATEST_SQL}, {_NEW_SQL}
  SELECT f.identReading, f.readingType, f.readingsValue,
   CASE WHEN f.readingType = 'EVENTS' THEN f.version
-   WHEN l.readingsValue IS NULL THEN 1 ELSE l.version + 1 END AS version,
-  CASE WHEN f.readingType <> 'EVENTS' AND trim(l.readingsValue) = trim(f.readingsValue)
+   WHEN l.owner IS NULL THEN 1 ELSE coalesce(TRY_CAST(l.version AS INTEGER), 0) + 1 END AS version,
+  CASE WHEN f.readingType <> 'EVENTS' AND l.owner IS NOT NULL
+    AND trim(l.readingsValue) IS NOT DISTINCT FROM trim(f.readingsValue)
    THEN 'Versionamiento duplicados' END AS rejectReason,
   CASE WHEN f.readingType <> 'EVENTS' THEN l.estimationReading END AS estimationReading,
   CASE WHEN f.readingType <> 'EVENTS' THEN l.editionValid END AS editionValid
@@ -305,7 +311,7 @@ def c10(spark, sf):
         F.when((number > 2) & (F.col("l_returnflag") != "A"), two("l_discount")).otherwise(""),
         F.lit("'}"),
     )
-    readings = spread(table(spark, sf, "lineitem")).select(
+    readings = table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.lit("REGISTERS").alias("readingType"),
@@ -341,6 +347,7 @@ def c20(spark, sf):
    ELSE CAST(o_custkey AS VARCHAR) END AS INTEGER) AS channel,
   CAST(NULL AS INTEGER) AS version,
   CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS idDateYmd,
+  CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey + 2147483000 END AS identReading,
   TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'none'
    ELSE CAST(CAST(floor(o_totalprice) AS INTEGER) AS VARCHAR) END AS FLOAT) AS readingsValue
  FROM orders""",
@@ -352,23 +359,33 @@ def c21(spark, sf):
         F.when(number % 3 == 0, "").otherwise(F.col("o_custkey").cast("string")).alias("channel"),
         F.lit("Original").alias("version"),
         times.date_key(F.col("o_orderdate")).alias("idDateYmd"),
+        F.when(number % 7 != 0, (number + 2147483000).cast("string")).alias("identReading"),
         F.when(number % 5 == 0, "none")
         .otherwise(F.floor("o_totalprice").cast("int").cast("string"))
         .alias("readingsValue"),
     )
     return output.final_casts(
-        readings, ["channel", "version", "idDateYmd"], ["readingsValue"]
+        readings, ["channel", "version", "idDateYmd"], ["readingsValue"], ["identReading"]
     )
 
 
 @query(
     "c22_route_by_type",
-    f"""WITH {READINGS} SELECT identReading, readingType,
+    f"""WITH {READINGS}, typed AS (SELECT identReading, CASE WHEN identReading % 11 = 0 THEN NULL
+   WHEN identReading % 13 = 0 THEN 'OTHER' ELSE readingType END AS readingType FROM readings)
+ SELECT identReading, readingType,
  CASE WHEN readingType = 'LOAD PROFILE READING' THEN 'interval' ELSE 'single' END AS route
- FROM readings""",
+ FROM typed""",
 )
 def c22(spark, sf):
-    readings = event_readings(spark, sf).select("identReading", "readingType")
+    number = F.col("identReading")
+    kind = F.when(number % 11 == 0, None).when(number % 13 == 0, "OTHER")
+    readings = event_readings(spark, sf).select(
+        "identReading",
+        F.when((number % 11 == 0) | (number % 13 == 0), kind)
+        .otherwise(F.col("readingType"))
+        .alias("readingType"),
+    )
     return output.route_by_type(
         readings,
         lambda df: df.withColumn("route", F.lit("interval")),

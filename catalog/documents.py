@@ -434,9 +434,9 @@ _XML_KINDS = ["max_demand", "interval"]
 _FILE_KEYS = ["readingsSource", "owner", "guidFile"]
 
 
-def _xml_folder(spark, sf):
+def _xml_folder(spark, sf, sections):
     root = fresh_path(spark, "documents")
-    docs = meter_documents(spark, sf, ["MaxDemandData", "IntervalData"])
+    docs = meter_documents(spark, sf, sections)
     (
         docs.write.format("xml")
         .option("rootTag", S.ROOT_TAG)
@@ -448,22 +448,27 @@ def _xml_folder(spark, sf):
     return root
 
 
-def _from_xml(spark, sf, split_files):
-    root = _xml_folder(spark, sf)
-    docs = documents.read_readings_xml(
-        spark, f"{root}/OWNER/HES/day", ["MaxDemandData", "IntervalData"], split_files
-    )
-    return readings_of(documents.with_source_keys(docs, root), _XML_KINDS).drop("guidFile")
+def _from_xml(spark, sf, kinds, split_files):
+    sections = list(dict.fromkeys(KINDS[kind].path[0] for kind in kinds))
+    root = _xml_folder(spark, sf, sections)
+    docs = documents.read_readings_xml(spark, f"{root}/OWNER/HES/day", sections, split_files)
+    return readings_of(documents.with_source_keys(docs, root), kinds).drop("guidFile")
 
 
 @query("s01_read_readings_xml", readings_sql(_XML_KINDS, ["guidFile"]))
 def s01(spark, sf):
-    return _from_xml(spark, sf, split_files=False)
+    return _from_xml(spark, sf, _XML_KINDS, split_files=False)
 
 
 @query("s01_read_readings_xml_split", readings_sql(_XML_KINDS, ["guidFile"]))
 def s01_split(spark, sf):
-    return _from_xml(spark, sf, split_files=True)
+    return _from_xml(spark, sf, _XML_KINDS, split_files=True)
+
+
+@query("s01_read_all_sections", readings_sql(DEFAULT_KINDS, ["guidFile"]))
+def s01_all(spark, sf):
+    """All sections through the XML reader."""
+    return _from_xml(spark, sf, list(DEFAULT_KINDS), split_files=True)
 
 
 @query(
@@ -567,12 +572,17 @@ def s05(spark, sf):
     f"""WITH {READINGS} SELECT CAST(identReading AS VARCHAR) AS identReading, variableId,
  {sql_time('readingUtcLocalTime')} AS readingUtcLocalTime,
  CAST(isoyear(DATE '2024-01-25') AS INTEGER) AS isoYear,
- CAST(week(DATE '2024-01-25') AS INTEGER) AS isoWeek FROM readings""",
+ CAST(week(DATE '2024-01-25') AS INTEGER) AS isoWeek,
+ CASE WHEN variableId = 'view' THEN 'first' ELSE 'second' END AS batch FROM readings""",
 )
 def s06(spark, sf):
     path = fresh_path(spark, "final")
     df = event_readings(spark, sf).select("identReading", "variableId", "readingUtcLocalTime")
-    sinks.write_final(df, path, AS_OF)
+    # Two batches of one week; the second is run twice.
+    first = F.col("variableId") == "view"
+    sinks.write_final(df.filter(first), path, AS_OF, "first")
+    for _ in range(2):
+        sinks.write_final(df.filter(~first), path, AS_OF, "second")
     return spark.read.option("header", True).csv(path).withColumns(
         {c: F.col(c).cast("int") for c in ("isoYear", "isoWeek")}
     )

@@ -175,12 +175,14 @@ def _lines(spark, sf):
  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_type <> 'SMALL'""",
 )
 def e09(spark, sf):
-    """The relations are the pairs of supplier and part of all but one type."""
-    parts = table(spark, sf, "part").filter("p_type <> 'SMALL'")
+    """The relations are the pairs of supplier and part. Parts of one type have
+    another device there, so that their lines find none."""
+    device = F.when(F.col("p_type") == "SMALL", "X").otherwise("M")
+    parts = table(spark, sf, "part")
     pairs = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct()
     relation = pairs.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat(F.lit("SP"), "l_suppkey").alias("servicePointId"),
-        F.concat(F.lit("M"), "l_partkey").alias("deviceId"),
+        F.concat(device, "l_partkey").alias("deviceId"),
         (F.col("p_size") > 25).alias("result_rD"),
     )
     joined = en.join_relation_flags(_lines(spark, sf), relation)
@@ -208,11 +210,13 @@ def e10(spark, sf):
     )
     variable = (
         table(spark, sf, "supplier")
-        .filter("s_acctbal > 1000")
         .withColumn("pair", F.explode(pairs))
         .select(
             "pair.*",
-            F.concat(F.lit("SP"), "s_suppkey").alias("servicePointId"),
+            # Suppliers with little money have another service point there.
+            F.concat(F.when(F.col("s_acctbal") > 1000, "SP").otherwise("XP"), "s_suppkey").alias(
+                "servicePointId"
+            ),
             (F.col("s_acctbal") > 5000).alias("result_sPV"),
             (F.col("pair.variableId") != "R").alias("toStock"),
             F.lit("2020-07-07T10:00:00").alias("lastReadDate"),

@@ -185,17 +185,16 @@ def n08(spark, sf):
 
 @query(
     "n09_union_readings",
-    """SELECT user_id, event_type, value FROM events WHERE event_type = 'click'
- UNION ALL BY NAME SELECT event_type, user_id, value FROM events WHERE value > 5
- UNION ALL BY NAME SELECT value, event_type, user_id FROM events
-  WHERE event_type <> 'error'""",
+    """SELECT user_id, event_type, value FROM events
+ UNION ALL BY NAME SELECT event_type, user_id, value + 1 AS value FROM events
+ UNION ALL BY NAME SELECT value + 2 AS value, event_type, user_id FROM events""",
 )
 def n09(spark, sf):
     events = table(spark, sf, "events")
     return rd.union_readings(
-        events.filter("event_type = 'click'").select("user_id", "event_type", "value"),
-        events.filter("value > 5").select("event_type", "user_id", "value"),
-        events.filter("event_type <> 'error'").select("value", "event_type", "user_id"),
+        events.select("user_id", "event_type", "value"),
+        events.select("event_type", "user_id", (F.col("value") + 1).alias("value")),
+        events.select((F.col("value") + 2).alias("value"), "event_type", "user_id"),
     )
 
 

@@ -33,7 +33,10 @@ def _enriched(spark, sf):
 
 def _stored(spark, sf):
     number = F.col("identReading")
-    return event_readings(spark, sf).filter("variableId <> 'view'").select(
+    # Views are stored under another owner, so that they are new here.
+    owner = F.when(F.col("variableId") == "view", F.concat(F.lit("FORMER-"), "owner"))
+    known = event_readings(spark, sf).withColumn("owner", F.coalesce(owner, "owner"))
+    return known.select(
         *S.VERSION_KEY,
         "readingType",
         F.when(number % 2 == 0, F.col("readingsValue")).otherwise("99").alias("readingsValue"),
@@ -56,7 +59,9 @@ dated AS (SELECT *, greatest(CAST(left(lastReadDate, 10) AS DATE),
    CAST(left(relationStartDate, 10) AS DATE)) AS opening,
   CAST(readingUtcLocalTime AS DATE) AS day,
   readingType = 'LOAD PROFILE READING' AS lp FROM readings),
-flagged AS (SELECT *, CASE WHEN result_rD IS NOT TRUE THEN 'Estado de asociacion'
+flagged AS (SELECT *, CASE WHEN readingType IS NULL
+   OR readingType NOT IN ('LOAD PROFILE READING', 'REGISTERS', 'EVENTS') THEN 'unknown reading type'
+  WHEN result_rD IS NOT TRUE THEN 'Estado de asociacion'
   WHEN result_sPV IS NOT TRUE OR toStock IS NOT TRUE THEN 'result variable - to stock '
   WHEN readingUtcLocalTime IS NULL THEN 'missing utc time'
   WHEN day >= opening - CASE WHEN lp THEN 3 ELSE 6 END
@@ -69,8 +74,8 @@ ranked AS (SELECT *, row_number() OVER
 counted AS (SELECT *, count(*) OVER (PARTITION BY {_KEY}) AS n FROM ranked WHERE i = 1),
 stored AS (SELECT {_VERSION_KEY}, CASE WHEN identReading % 2 = 0 THEN readingsValue
    ELSE '99' END AS storedValue, CAST(identReading % 4 + 1 AS INTEGER) AS storedVersion
- FROM readings WHERE variableId <> 'view'
-  AND readingType <> 'EVENTS'
+ FROM (SELECT * REPLACE (CASE WHEN variableId = 'view' THEN 'FORMER-' || owner ELSE owner END
+   AS owner) FROM readings) WHERE readingType <> 'EVENTS'
   AND readingUtcLocalTime >= (SELECT min(readingUtcLocalTime) FROM flagged
    WHERE reason IS NULL AND readingType <> 'EVENTS')),
 latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_VERSION_KEY}
@@ -119,7 +124,7 @@ used AS (
   WHERE later IS NULL AND NOT lp)
  SELECT servicePointId, variableId, readingType, {sql_time('t')} AS readingUtcLocalTime,
   CAST(v AS FLOAT) AS readingsValue, CAST(version AS INTEGER) AS version,
-  CAST(number AS INTEGER) AS identReading, usageValid,
+  CAST(number AS BIGINT) AS identReading, usageValid,
   CAST(strftime(t, '%Y%m%d') AS INTEGER) AS idDateYmd,
   CAST(CASE WHEN readingType = 'EVENTS' OR multiplier IS NULL THEN NULL
    WHEN multiplier LIKE '%0.25%' THEN 0.75 * CAST(v AS DOUBLE)

@@ -107,6 +107,7 @@ DEVICE_CATEGORY = "METER"
 REASON_ASSOCIATION = "Estado de asociacion"
 REASON_VARIABLE = "result variable - to stock "
 REASON_NO_UTC = "missing utc time"
+REASON_TYPE = "unknown reading type"
 REASON_WINDOW = "dias pasado-futuro"
 REASON_DUPLICATE = "Duplicados"
 REASON_CONFLICT = "Valores inconsitentes"
@@ -127,8 +128,6 @@ RESULT_FAILED = "Failed"
 MISSING_INTERVAL_DETAIL = "{'Usage':{'IntervalsError':'Interval not exist'}}"
 
 # Audit message envelope.
-AUDIT_TARGET = "sqs-logs"
-AUDIT_EVENT_TYPE = "pap-log.business"
 AUDIT_USER = "System"
 AUDIT_LEVEL = "INFO"
 AUDIT_MESSAGE = " "

@@ -13,7 +13,9 @@ from gaugeline.operators.quality import REASON
 from gaugeline.settings import Settings
 
 
-def _message(category: dict[str, Column], source: str, stamp: str) -> Column:
+def _message(
+    category: dict[str, Column], source: str, stamp: str, settings: Settings
+) -> Column:
     data = F.struct(
         F.lit(fv.AUDIT_MESSAGE).alias("message"),
         F.lit(fv.AUDIT_LEVEL).alias("logLevel"),
@@ -21,8 +23,8 @@ def _message(category: dict[str, Column], source: str, stamp: str) -> Column:
         F.col("readingsSource").alias("hes"),
     )
     envelope = F.struct(
-        F.lit(fv.AUDIT_TARGET).alias("target"),
-        F.lit(fv.AUDIT_EVENT_TYPE).alias("eventType"),
+        F.lit(settings.audit_target).alias("target"),
+        F.lit(settings.audit_event_type).alias("eventType"),
         F.array(data).alias("data"),
         F.lit(source).alias("source"),
         F.col("guidFile").alias("transactionId"),
@@ -95,11 +97,13 @@ def reading_audit(
         "guidFile", "owner", "readingsSource", "servicePointId", "deviceId",
         "readingType", "variableId", "readingUtcLocalTime",
         "categoryAction", "categoryResult",
-        _message(category, source, stamp).alias("message"),
+        _message(category, source, stamp, settings).alias("message"),
     )
 
 
-def interval_audit(summary: DataFrame, stamp: str) -> DataFrame:
+def interval_audit(
+    summary: DataFrame, stamp: str, settings: Settings = Settings()
+) -> DataFrame:
     """One record per series. Expects ``series_summary`` with the attributes
     ``readingType, guidFile, owner, readingsSource``. The count is that of the
     readings when complete, of the missing ones when not."""
@@ -123,7 +127,7 @@ def interval_audit(summary: DataFrame, stamp: str) -> DataFrame:
         "cant_readings": F.col("readings"),
         "result": F.col("result"),
     }
-    message = _message(category, fv.AUDIT_VALIDATION_SOURCE, stamp)
+    message = _message(category, fv.AUDIT_VALIDATION_SOURCE, stamp, settings)
     return counted.select(
         "guidFile", "owner", "readingsSource", "servicePointId", "deviceId",
         "readingType", "variableId", "minTime", "maxTime", "readings", "result",
@@ -131,7 +135,9 @@ def interval_audit(summary: DataFrame, stamp: str) -> DataFrame:
     )
 
 
-def stage_audit(df: DataFrame, stage: str, status: str, stamp: str) -> DataFrame:
+def stage_audit(
+    df: DataFrame, stage: str, status: str, stamp: str, settings: Settings = Settings()
+) -> DataFrame:
     """One record per file with its number of rows at the start or end of a
     stage."""
     source, process = fv.AUDIT_PROCESS[stage]
@@ -151,5 +157,5 @@ def stage_audit(df: DataFrame, stage: str, status: str, stamp: str) -> DataFrame
         F.lit(process).alias("stage"),
         F.lit(status).alias("status"),
         "registerCount",
-        _message(category, source, stamp).alias("message"),
+        _message(category, source, stamp, settings).alias("message"),
     )

@@ -29,7 +29,7 @@ _POSITION_BITS = (1 << 33) - 1
 
 
 def add_ids(df: DataFrame, as_of: dt.date) -> DataFrame:
-    nothing = F.lit(None).cast("int")
+    nothing = F.lit(None).cast("bigint")
     return df.withColumns(
         {
             "idVdi": nothing,

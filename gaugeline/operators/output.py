@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gaugeline import schema as S
 from gaugeline.functions import fixed_values as fv
-from gaugeline.sources.sinks import rendered
 
 
 def final_projection(
@@ -30,11 +29,13 @@ def final_casts(
     df: DataFrame,
     integers: Sequence[str] = tuple(S.FINAL_INTEGERS),
     floats: Sequence[str] = tuple(S.FINAL_FLOATS),
+    longs: Sequence[str] = tuple(S.FINAL_LONGS),
 ) -> DataFrame:
-    """Integer and float columns; text that is no number becomes null."""
+    """Integer, long and float columns; text that is no number becomes null."""
     return df.withColumns(
         {
             **{name: F.col(name).try_cast("int") for name in integers},
+            **{name: F.col(name).try_cast("bigint") for name in longs},
             **{name: F.col(name).try_cast("float") for name in floats},
         }
     )
@@ -45,14 +46,8 @@ def route_by_type(
     load_profile: Callable[[DataFrame], DataFrame],
     others: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Interval readings through one step, registers and events through another,
-    together again by column name."""
-    kind = F.col("readingType")
-    return load_profile(df.filter(kind == fv.LOAD_PROFILE)).unionByName(
-        others(df.filter(kind.isin(fv.REGISTERS, fv.EVENTS)))
-    )
-
-
-def as_text(df: DataFrame) -> DataFrame:
-    """Times as text, for readers that expect text columns."""
-    return rendered(df)
+    """Interval readings through one step, all others through another, together
+    again by column name. Readings of no type or an unknown one go with the
+    others, so none is lost here; ``quality.reject_unknown_type`` refuses them."""
+    profile = F.col("readingType").eqNullSafe(fv.LOAD_PROFILE)
+    return load_profile(df.filter(profile)).unionByName(others(df.filter(~profile)))

@@ -41,6 +41,12 @@ def _not_true(flag: Column) -> Column:
     return ~F.coalesce(flag, F.lit(False))
 
 
+def reject_unknown_type(df: DataFrame) -> DataFrame:
+    """Readings of no type, or of one that no later step knows."""
+    known = F.col("readingType").isin(fv.LOAD_PROFILE, fv.REGISTERS, fv.EVENTS)
+    return _mark(df, (_not_true(known), fv.REASON_TYPE))
+
+
 def reject_unassociated(df: DataFrame) -> DataFrame:
     return _mark(df, (_not_true(F.col("result_rD")), fv.REASON_ASSOCIATION))
 

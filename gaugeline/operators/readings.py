@@ -29,7 +29,3 @@ def fill_relation_dates(
 def cast_readings(df: DataFrame, columns=tuple(INTEGER_COLUMNS)) -> DataFrame:
     """Integer columns; text that is no number becomes null."""
     return df.withColumns({name: F.col(name).try_cast("int") for name in columns})
-
-
-def rows_like(df: DataFrame, columns) -> DataFrame:
-    return df.select(*columns)

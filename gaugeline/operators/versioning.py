@@ -21,9 +21,11 @@ def latest_version(
     key: Sequence[str] = S.VERSION_KEY,
     version: str = "version",
 ) -> DataFrame:
-    """The stored row with the highest version of each key. Whole rows travel, so
-    select the wanted columns first."""
-    return first_per_key(stored, key, [-F.col(version).try_cast("int")])
+    """The stored row with the highest version of each key; a version that is no
+    number is below all others. Whole rows travel, so select the wanted columns
+    first."""
+    number = F.col(version).try_cast("int")
+    return first_per_key(stored, key, [number.isNull(), -number])
 
 
 def assign_version(
@@ -33,12 +35,13 @@ def assign_version(
     value: str = "readingsValue",
     kept: Sequence[str] = _KEPT,
 ) -> DataFrame:
-    """Version 1 for a reading not stored yet, the stored version plus one for a
-    changed value; the same value (as trimmed text) is rejected. A changed
-    reading takes over the stored estimation and edition columns. Events keep
-    the version they have."""
+    """Version 1 for a reading not stored yet, the stored version (0 if it is no
+    number) plus one for a changed value; the same value (as trimmed text, none
+    like none) is rejected. A changed reading takes over the stored estimation and
+    edition columns. Events keep the version they have."""
     known = latest.select(
         *key,
+        F.lit(True).alias("_stored"),
         F.col(value).alias("_value"),
         F.col("version").try_cast("int").alias("_version"),
         *[F.col(name).alias(f"_{name}") for name in kept],
@@ -48,10 +51,10 @@ def assign_version(
     matched = join_per_key(bare, known, key)
 
     versioned = ~F.col("readingType").eqNullSafe(fv.EVENTS)
-    found = versioned & F.col("_value").isNotNull()
+    found = versioned & F.col("_stored").isNotNull()
     same = found & F.trim("_value").eqNullSafe(F.trim(F.col(value)))
     version = F.when(~versioned, F.col("version").try_cast("int")).otherwise(
-        F.when(found, F.col("_version") + 1).otherwise(1)
+        F.when(found, F.coalesce("_version", F.lit(0)) + 1).otherwise(1)
     )
     out = matched.withColumns(
         {
@@ -66,7 +69,7 @@ def assign_version(
             },
         }
     )
-    return out.drop("_value", "_version", *[f"_{name}" for name in kept])
+    return out.drop("_stored", "_value", "_version", *[f"_{name}" for name in kept])
 
 
 def usage_reading(df: DataFrame) -> DataFrame:

@@ -36,9 +36,10 @@ def translate(
     path: str | list[str],
     root: str | None = None,
     kinds: Iterable[str] = DEFAULT_KINDS,
-    split_files: bool = False,
+    split_files: bool = True,
 ) -> DataFrame:
-    """XML files to flat readings, in one scan of the files."""
+    """XML files to flat readings, in one scan of the files. Elements that do not
+    parse give no reading; ``unparsed`` returns them."""
     kinds = tuple(kinds)
     sections = {KINDS[kind].path[0] for kind in kinds}
     documents = read_readings_xml(spark, path, sections, split_files)
@@ -46,6 +47,18 @@ def translate(
     return cast_readings(project_readings(drop_unnamed(elements)))
 
 
+def unparsed(
+    spark: SparkSession, path: str | list[str], root: str | None = None, split_files: bool = True
+) -> DataFrame:
+    """The text of the elements that ``translate`` cannot read, with the keys of
+    their file: ``guidFile, owner, hes, filePath, record``."""
+    documents = with_source_keys(read_readings_xml(spark, path, None, split_files), root)
+    broken = documents.filter(F.col(S.CORRUPT_COLUMN).isNotNull())
+    return broken.select(
+        "guidFile", "owner", "hes", "filePath", F.col(S.CORRUPT_COLUMN).alias("record")
+    )
+
+
 def enrich(
     readings: DataFrame, relation: DataFrame, variable: DataFrame, as_of: dt.date
 ) -> DataFrame:
@@ -85,7 +98,7 @@ def clean(
     part from the batch's earliest time on is read."""
     stamp = stamp or dt.datetime.combine(as_of, dt.time()).isoformat(timespec="microseconds")
 
-    flagged = quality.reject_unassociated(enriched)
+    flagged = quality.reject_unassociated(quality.reject_unknown_type(enriched))
     flagged = quality.reject_unstorable(flagged)
     flagged = quality.require_utc(flagged)
     flagged = quality.reject_out_of_window(flagged, settings, as_of)
@@ -125,5 +138,5 @@ def clean(
         accepted=output.final_casts(accepted),
         rejected=rejected,
         reading_audit=audit.reading_audit(rejected, filled, settings, stamp),
-        interval_audit=audit.interval_audit(summary, stamp),
+        interval_audit=audit.interval_audit(summary, stamp, settings),
     )

@@ -126,10 +126,9 @@ FINAL_COLUMNS = (
     "estimationValid editionReading editionValid owner readingsSource idDateYw"
 ).split()
 
-FINAL_INTEGERS = [
-    "channel", "logNumber", "version", "idVdi", "identReading", "idenEvent",
-    "idDateYmd", "idDateYw",
-]
+FINAL_INTEGERS = ["channel", "logNumber", "version", "idDateYmd", "idDateYw"]
+# Numbers of rows pass the range of an integer.
+FINAL_LONGS = ["idVdi", "identReading", "idenEvent"]
 FINAL_FLOATS = ["readingsValue", "usageReading", "estimationReading", "editionReading"]
 
 # Accepted readings as stored, the input of versioning.

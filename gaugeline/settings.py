@@ -9,7 +9,8 @@ from dataclasses import dataclass
 class Settings:
     """Days a reading may lie before the start of its relation or after the run
     date, whether outage gaps are filled with zero, and the quality flags
-    (``system-categorization-index``) that mean a power outage."""
+    (``system-categorization-index``) that mean a power outage. Target and event
+    type are what audit messages name as their receiver."""
 
     load_profile_past_days: int = 30
     load_profile_future_days: int = 1
@@ -17,6 +18,8 @@ class Settings:
     other_future_days: int = 1
     fill_with_zero: bool = True
     outage_flags: tuple[str, ...] = ("1-2-32", "1-2-0")
+    audit_target: str = "audit"
+    audit_event_type: str = "readings"
 
     @classmethod
     def from_document(cls, document: dict) -> "Settings":

@@ -38,14 +38,18 @@ def with_run_week(df: DataFrame, as_of: dt.date) -> DataFrame:
     return df.withColumns({"isoYear": iso_year(day), "isoWeek": iso_week(day)})
 
 
-def write_final(df: DataFrame, path: str, as_of: dt.date, fmt: str = "csv") -> None:
-    """Final readings filed under ISO year and week of the run date. Only that
-    week's folder is replaced; readers by week prune the others."""
+def write_final(
+    df: DataFrame, path: str, as_of: dt.date, batch: str, fmt: str = "csv"
+) -> None:
+    """Final readings filed under ISO year and week of the run date and, below it,
+    the batch (an id of the caller, such as the file's or the run's). Only that
+    batch is replaced, as when it is run again; readers by week prune the others."""
     writer = (
         with_run_week(rendered(df) if fmt == "csv" else df, as_of)
+        .withColumn("batch", F.lit(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("isoYear", "isoWeek")
+        .partitionBy("isoYear", "isoWeek", "batch")
         .format(fmt)
     )
     if fmt == "csv":

@@ -12,6 +12,7 @@ from gaugeline.operators import enrich as en
 from gaugeline.operators import intervals as iv
 from gaugeline.operators import quality, versioning
 from gaugeline.sources import sinks, tables
+from gaugeline.sources.documents import read_readings_xml
 
 DOCUMENT = """<?xml version="1.0"?><AMRDEF Purpose="Test">
 <MeterReadings Irn="1" Source="Remote" SourceIrn="9" CollectionTime="2024-03-02 08:00:00">
@@ -166,16 +167,49 @@ def test_stages(spark, translated, lookups):
 def test_final_output(spark, tmp_path):
     df = spark.createDataFrame([(1, None, ""), (2, "x", "y")], "a int, b string, c string")
     path = str(tmp_path / "out")
-    sinks.write_final(df, path, dt.date(2021, 1, 3))
-    sinks.write_final(df.filter("a = 1"), path, dt.date(2021, 1, 4))
+    sinks.write_final(df, path, dt.date(2021, 1, 3), "run-1")
+    sinks.write_final(df.filter("a = 1"), path, dt.date(2021, 1, 4), "run-2")
+    for _ in range(2):  # another batch of a week, run twice
+        sinks.write_final(df.filter("a = 2"), path, dt.date(2021, 1, 4), "run-3")
     found = spark.read.option("header", True).csv(path)
     weeks = sorted((r.isoYear, r.isoWeek, r["count"]) for r in found.groupBy("isoYear", "isoWeek").count().collect())
-    assert weeks == [(2020, 53, 2), (2021, 1, 1)]
+    assert weeks == [(2020, 53, 2), (2021, 1, 2)]
     assert {r.c for r in found.filter("a = 1").collect()} == {None}
-    text = next((tmp_path / "out" / "isoYear=2021" / "isoWeek=1").glob("*.csv")).read_text()
+    text = next((tmp_path / "out" / "isoYear=2021" / "isoWeek=1" / "batch=run-2").glob("*.csv")).read_text()
     assert text.splitlines()[1] == "1,,"
 
 
+BROKEN = """<?xml version="1.0"?><AMRDEF Purpose="Test">
+<MeterReadings Source="One"><Meter MeterIrn="1"/></MeterReadings>
+<MeterReadings Source="Two"><Meter MeterIrn="2"/>
+<MeterReadings Source="Three"><Meter MeterIrn="3"/></MeterReadings>
+<MeterReadings Source="Four" />
+<MeterReadings Source="Five"><Meter MeterIrn="5"></MeterReadings>
+<MeterReadings Source="Six"><Meter MeterIrn="6"/>"""
+
+
+def test_broken_elements_are_kept_apart(spark, tmp_path):
+    day = tmp_path / "OWNER" / "HES"
+    day.mkdir(parents=True)
+    (day / "a.xml").write_text(BROKEN)
+    (day / "b.xml").write_text(BROKEN[: BROKEN.index("Two")])
+    docs = read_readings_xml(spark, str(day))
+    read = [(r["_Source"], r["_corrupt"]) for r in docs.filter("_corrupt is null").collect()]
+    assert sorted(read) == [("Four", None), ("One", None), ("One", None), ("Three", None)]
+    lost = g.unparsed(spark, str(day), root=str(tmp_path)).collect()
+    assert sorted(r.record.split('"')[1] for r in lost if r.guidFile == "a") == ["Five", "Six", "Two"]
+    assert [r.record for r in lost if r.guidFile == "b"] == ['<MeterReadings Source="']
+    assert {(r.owner, r.hes) for r in lost} == {("OWNER", "HES")}
+
+
+def test_unknown_types_are_refused(spark):
+    kinds = ["REGISTERS", "OTHER", None, "EVENTS", "LOAD PROFILE READING"]
+    df = spark.createDataFrame(list(enumerate(kinds)), "n int, readingType string")
+    marked = {r.n: r[quality.REASON] for r in quality.reject_unknown_type(df).collect()}
+    reason = "unknown reading type"
+    assert marked == {0: None, 1: reason, 2: reason, 3: None, 4: None}
+
+
 def test_staged_csv_checks_header(spark, tmp_path):
     path = str(tmp_path / "staged")
     sinks.write_csv(spark.createDataFrame([("1", "2")], "a string, b string"), path)
