@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import READINGS, event_readings, query, shown, sql_time
+from catalog.base import READINGS, event_readings, query, shown, sql_time, table
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import times
 from gaugeline.operators import intervals as iv
@@ -279,3 +279,90 @@ def completeness(spark, sf):
         F.sum("actual").alias("actual"),
         F.count_if(F.col("result") == fv.RESULT_SUCCESS).alias("complete"),
     )
+
+
+# Series of lines: an order is a series, a line a reading. Orders have intervals of 15
+# or 60 minutes. A third of them lacks the time of their third line, a fifth has its
+# second line off the grid.
+_LINES_SQL = """lines AS (SELECT l_orderkey, CASE WHEN l_orderkey % 2 = 0 THEN 15 ELSE 60 END AS size,
+  to_minutes(CAST(CASE WHEN l_orderkey % 2 = 0 THEN 15 ELSE 60 END *
+   (l_linenumber + CASE WHEN l_orderkey % 3 = 0 AND l_linenumber >= 3 THEN 1 ELSE 0 END)
+   + CASE WHEN l_orderkey % 5 = 0 AND l_linenumber = 2 THEN 7 ELSE 0 END AS INTEGER))
+  + TIMESTAMP '2024-01-01' + to_days(CAST(l_orderkey % 300 AS INTEGER)) AS t FROM lineitem),
+once AS (SELECT DISTINCT l_orderkey, size, t FROM lines),
+followed AS (SELECT *, lead(t) OVER (PARTITION BY l_orderkey ORDER BY t) AS following FROM once),
+filled AS (SELECT l_orderkey, size, t, unnest(generate_series(t,
+  coalesce(following - INTERVAL 1 SECOND, t), to_minutes(size))) AS step FROM followed),
+summed AS (SELECT l_orderkey, size, min(step) AS lo, max(step) AS hi,
+  date_diff('minute', min(step), max(step)) // size + 1 AS expected,
+  count(*) FILTER (WHERE step = t) AS actual, count(*) FILTER (WHERE step <> t) AS unmarked
+ FROM filled GROUP BY l_orderkey, size)"""
+
+
+def line_series(spark, sf):
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    size = F.when(order % 2 == 0, 15).otherwise(60)
+    shifted = line + F.when((order % 3 == 0) & (line >= 3), 1).otherwise(0)
+    off = F.when((order % 5 == 0) & (line == 2), 7).otherwise(0)
+    start = F.timestamp_add("DAY", order % 300, F.lit("2024-01-01").cast("timestamp_ntz"))
+    readings = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("SP-"), order).alias("servicePointId"),
+        F.lit("D").alias("deviceId"),
+        F.lit("MAIN").alias("meteringType"),
+        F.lit("kWh").alias("variableId"),
+        F.lit(1).alias("logNumber"),
+        F.timestamp_add("MINUTE", size * shifted + off, start).alias("readingUtcLocalTime"),
+        size.alias("intervalSize"),
+        F.lit("LOAD PROFILE READING").alias("readingType"),
+        F.lit("guid").alias("guidFile"),
+        F.lit("OWNER").alias("owner"),
+        F.lit("HES").alias("readingsSource"),
+        F.lit(0).alias("identReading"),
+    )
+    filled = iv.fill_gaps(quality.drop_duplicates(readings, _INSTANT))
+    mark = iv.interval_mark(F.lit(None).cast("string"), F.col("isOriginal"), SETTINGS)
+    return filled.withColumn("intervalMark", mark)
+
+
+@query(
+    "c18_series_of_lines",
+    f"""WITH {_LINES_SQL} SELECT 'SP-' || l_orderkey AS servicePointId,
+ {sql_time('lo')} AS minTime, {sql_time('hi')} AS maxTime, CAST(expected AS BIGINT) AS expected,
+ actual, CAST(greatest(expected - actual, unmarked) AS BIGINT) AS missing,
+ CASE WHEN unmarked = 0 AND actual >= expected THEN 'Successful' ELSE 'Failed' END AS result
+ FROM summed""",
+)
+def series_of_lines(spark, sf):
+    return shown(
+        iv.series_summary(line_series(spark, sf)),
+        "servicePointId", "minTime", "maxTime", "expected", "actual", "missing", "result",
+    )
+
+
+@query(
+    "c17_validity_of_lines",
+    f"""WITH {_LINES_SQL} SELECT 'SP-' || l_orderkey AS servicePointId,
+ {sql_time('step')} AS readingUtcLocalTime, step = t AS usageValid FROM filled""",
+)
+def validity_of_lines(spark, sf):
+    rows = line_series(spark, sf)
+    valid = iv.validate_intervals(rows, iv.series_summary(rows))
+    return shown(valid, "servicePointId", "readingUtcLocalTime", "usageValid")
+
+
+@query(
+    "completeness_by_interval",
+    f"""WITH {_LINES_SQL} SELECT size AS intervalSize, count(*) AS series,
+ CAST(sum(expected) AS BIGINT) AS expected, CAST(sum(actual) AS BIGINT) AS actual,
+ count(*) FILTER (WHERE unmarked = 0 AND actual >= expected) AS complete
+ FROM summed GROUP BY size""",
+)
+def completeness_by_interval(spark, sf):
+    """How many series of each interval are complete."""
+    rows = iv.series_summary(line_series(spark, sf), attributes=["intervalSize"])
+    return rows.groupBy("intervalSize").agg(
+        F.count(F.lit(1)).alias("series"),
+        F.sum("expected").alias("expected"),
+        F.sum("actual").alias("actual"),
+        F.count_if(F.col("result") == fv.RESULT_SUCCESS).alias("complete"),
+    )

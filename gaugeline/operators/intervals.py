@@ -223,13 +223,19 @@ def series_summary(
 ) -> DataFrame:
     """Per series: first and last time, expected, actual and missing readings and
     the result. Sums and extremes only, combined before the shuffle.
-    ``attributes`` are descriptive columns of the series to carry along."""
+    ``attributes`` are descriptive columns of the series to carry along.
+
+    The smallest interval of a series counts: one that changes its interval is
+    complete only if it has all readings of the smaller one. Readings off the grid
+    make up for no gap: a series with an unmarked row is not complete, whatever the
+    counts, and ``missing`` is at least the number of such rows, never negative."""
     bounds = df.groupBy(*series).agg(
         *[F.min(name).alias(name) for name in attributes],
         F.min(time).alias("minTime"),
         F.max(time).alias("maxTime"),
         F.min(step).alias("_step"),
         F.count(mark).alias("actual"),
+        F.count_if(F.col(mark).isNull()).alias("_unmarked"),
     )
     span = times.minutes_between(F.col("minTime"), F.col("maxTime"))
     expected = (F.floor(span / _valid_step(F.col("_step"))) + 1).cast("long")
@@ -240,8 +246,8 @@ def series_summary(
         "maxTime",
         expected.alias("expected"),
         "actual",
-        (expected - F.col("actual")).alias("missing"),
-        F.when(expected == F.col("actual"), fv.RESULT_SUCCESS)
+        F.greatest(expected - F.col("actual"), F.col("_unmarked")).alias("missing"),
+        F.when((F.col("_unmarked") == 0) & (F.col("actual") >= expected), fv.RESULT_SUCCESS)
         .otherwise(fv.RESULT_FAILED)
         .alias("result"),
     )
