@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import normalize as norm
-from gaugeline.schema import READING_COLUMNS
+from gaugeline.schema import DOCUMENT_SCHEMA, READING_COLUMNS
 
 # Text fields of an entry; a kind leaves out what it has not.
 _FIELDS = [
     "variableId", "unitOfMeasure", "readingTime", "readingsValue", "ke", "channel",
     "intervalSize", "eventsCode",
 ]
-_CODES = "struct<system:string,categorization:string,index:string,dst:string>"
+# An entry carries its quality flags as they are; their codes are found after the explode.
+_INTERVALS = next(f for f in DOCUMENT_SCHEMA.fields if f.name == "IntervalData").dataType
+_FLAGS = (
+    _INTERVALS.elementType["Reading"].dataType.elementType["QualityFlags"].dataType.simpleString()
+)
 
 
 @dataclass(frozen=True)
@@ -167,7 +171,7 @@ def _event_attribute(entry, event, _collected):
 
 def _interval(entry, interval_data, _collected):
     spec = interval_data.getField("IntervalSpec")
-    unit, flags = spec.getField("_UOM"), entry.getField("QualityFlags")
+    unit = spec.getField("_UOM")
     return dict(
         variableId=_words(unit, spec.getField("_Direction")),
         unitOfMeasure=unit,
@@ -176,7 +180,7 @@ def _interval(entry, interval_data, _collected):
         ke=spec.getField("_Multiplier"),
         channel=spec.getField("_Channel"),
         intervalSize=spec.getField("_Interval"),
-        quality=F.when(flags.isNotNull(), norm.quality_codes(flags)),
+        flags=entry.getField("QualityFlags"),
     )
 
 
@@ -211,7 +215,7 @@ DEFAULT_KINDS = tuple(name for name in KINDS if name != "previous_outage_count")
 _ENTRY_TYPE = (
     "array<struct<readingType:string,logged:boolean,"
     + ",".join(f"{name}:string" for name in _FIELDS)
-    + f",quality:{_CODES}>>"
+    + f",flags:{_FLAGS}>>"
 )
 
 
@@ -225,7 +229,7 @@ def _entry(kind: Kind, fields: dict[str, Column]) -> Column:
         F.lit(kind.reading_type).alias("readingType"),
         F.lit(kind.logged).alias("logged"),
         *[fields.get(name, nothing.cast("string")).alias(name) for name in _FIELDS],
-        fields.get("quality", nothing.cast(_CODES)).alias("quality"),
+        fields.get("flags", nothing.cast(_FLAGS)).alias("flags"),
     )
 
 
@@ -261,8 +265,12 @@ def flatten_readings(
     wanted = [_entries(KINDS[name]) for name in kinds]
     together = F.concat(*wanted) if len(wanted) > 1 else wanted[0]
     prefix = ["_Source", "_SourceIrn", "Meter", "hes", "owner", "guidFile"]
-    return documents.select(*prefix, F.explode(together).alias("entry")).select(
-        *prefix, "entry.*"
+    rows = documents.select(*prefix, F.explode(together).alias("entry"))
+    flags = F.col("entry.flags")
+    return rows.select(
+        *prefix,
+        *[F.col(f"entry.{name}") for name in ("readingType", "logged", *_FIELDS)],
+        F.when(flags.isNotNull(), norm.quality_codes(flags)).alias("quality"),
     )
 
 
