@@ -9,9 +9,8 @@ threshold, so that a link right at it shares none with a chance of ``MISS`` at m
 
 A bucket (all sets with one key) never lists its pairs. Its members are compared with
 its hub, the member whose keys are shared most, so that variants of one original are
-held against the original. Confirmed links make components. Buckets whose members are
-then in several components are looked at again, with the best hub of what they hold
-(``ROUNDS`` times). The members of buckets that are still mixed are then compared
+held against the original. Confirmed links make components. The members of buckets
+that then hold several components are compared
 across components, wherever they share one of their rarest shingles, as all sets do
 that reach the threshold (prefix and position filter). That drops variants that are
 too far from each other before they make pairs, and loses no link.
@@ -43,7 +42,6 @@ from gaugeline.operators.keyed import join_per_key
 
 ROWS = 2
 MISS = 2e-6
-ROUNDS = 1
 #: Counters for how rare shingles are.
 SLOTS = 1 << 20
 _SLOT_SHIFT = np.uint64(44)
@@ -298,23 +296,16 @@ def near_dedup(
     packed = written(_packed(texts).join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
     links = written(confirmed(pairs, packed, shingle, percent), "links")
     labels = components(links)
-    for turn in range(ROUNDS + 1):
-        mixed = written(_mixed_buckets(buckets, labels), "mixed")
-        if mixed.isEmpty():
-            break
-        if turn < ROUNDS:
-            # The best of those that have not been the hub of the bucket's component.
-            new = _hub_pairs(mixed.filter(F.col("id") != F.col("component")) if turn else mixed)
-        else:
-            members = mixed.select("id", "component").distinct()
-            new = _across(members, packed, shingle, percent)
-        new = written(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        pairs = pairs.unionByName(new)
-        found = written(confirmed(new, packed, shingle, percent), "links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
-    merged = join_per_key(mapped, labels, ["id"])
+    mixed = _mixed_buckets(buckets, labels).select("id", "component").distinct()
+    new = _across(mixed, packed, shingle, percent).join(pairs, ["a", "b"], "left_anti")
+    found = written(confirmed(new, packed, shingle, percent), "links")
+    # The further links join components; those of the few joined ones are found alone.
+    label = lambda name: labels.select(F.col("id").alias(name), F.col("component").alias(f"of_{name}"))
+    named = found.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    joined = components(named.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("least"))
+    merged = join_per_key(mapped, labels, ["id"]).withColumn("component", F.coalesce("component", "id"))
+    merged = join_per_key(merged, joined, ["component"]).withColumn("component", F.coalesce("least", "component"))
     component = F.coalesce("component", "id", "doc_id")
     return merged.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
