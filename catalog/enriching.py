@@ -11,7 +11,7 @@ from gaugeline.operators import enrich as en
 
 @query(
     "e01_add_ids",
-    """SELECT o_orderkey, CAST(NULL AS INTEGER) AS idVdi, CAST(NULL AS INTEGER) AS idenEvent,
+    """SELECT o_orderkey, CAST(NULL AS BIGINT) AS idVdi, CAST(NULL AS BIGINT) AS idenEvent,
  DATE '2024-01-25' AS dateCreation FROM orders""",
 )
 def e01(spark, sf):
