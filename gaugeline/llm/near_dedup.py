@@ -10,10 +10,10 @@ threshold, so that a link right at it shares none with a chance of ``MISS`` at m
 A bucket (all sets with one key) never lists its pairs. Its members are compared with
 its hub, the member whose keys are shared most, so that variants of one original are
 held against the original. Confirmed links make components. The members of buckets
-that then hold several components are compared
-across components, wherever they share one of their rarest shingles, as all sets do
-that reach the threshold (prefix and position filter). That drops variants that are
-too far from each other before they make pairs, and loses no link.
+that then hold several components are compared across components, wherever they share
+one of their rarest shingles, as all sets do that reach the threshold (prefix and
+position filter). That drops variants that are too far from each other before they
+make pairs, and loses no link.
 
 Candidates are confirmed on the full sets, made again from the texts (64-bit hashes
 of shingles).
