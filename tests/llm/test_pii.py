@@ -59,6 +59,20 @@ def test_added_kinds(spark):
     assert spans[103].count("ssn") == 2  # the last has no word about it nearby
 
 
+def test_account_numbers_end_at_the_length_of_their_country(spark):
+    rows = [
+        (1, "ES9121000418450200051332 EUR 25"), (2, "ES91 2100 0418 4502 0005 1332 25 May"), (3, "AT611904300234573201 BIC BKAUATWW"),
+        (4, "NO9386011117947 12 and ES9121000418450200051332 DE89 3704 0044 0532 0130 00 EUR"), (5, "ES9121000418450200051333 EUR"),
+    ]
+    want = {
+        1: ["ES9121000418450200051332"], 2: ["ES91 2100 0418 4502 0005 1332"], 3: ["AT611904300234573201"],
+        4: ["NO9386011117947", "ES9121000418450200051332", "DE89 3704 0044 0532 0130 00"], 5: [],
+    }
+    for r in pii.pii_report(frame(spark, rows)).collect():
+        found = [s.split(":") for s in r["spans"].split(",") if s.startswith("iban")]
+        assert [dict(rows)[r["doc_id"]][int(a) : int(b)] for _, a, b in found] == want[r["doc_id"]]
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.pii_report(frame(spark, HARD))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
