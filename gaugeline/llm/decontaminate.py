@@ -1,6 +1,7 @@
 """Benchmark passages in documents by greedy string tiling.
 
-Texts are lower-cased and cut into words (letters and digits). A Karp-Rabin hash
+Texts are lower-cased and cut into words (letters and digits); in scripts written
+without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) each letter is a word. A Karp-Rabin hash
 runs over every ``MIN_MATCH`` words of a whole document and is looked up among the
 hashes of the items' word runs: the shared seeds, verified word by word. Seeds that
 follow each other on one diagonal are one match. The longest match whose words are
@@ -14,8 +15,10 @@ code points, however many there are, and each block is held against all document
 where they are read. No document is shuffled, so a passage that many documents
 share makes no hot key.
 
-Defined cases: null and empty texts, of documents or items, match nothing, as do
-items of fewer than ``MIN_MATCH`` words, for they can have no tile; equal items
+Defined cases: null and empty texts, of documents or items, match nothing;
+no tile lies in items of fewer than ``MIN_MATCH`` words. Of those the exact word sequence
+counts: with ``SHORT`` spaced words or more wherever it stands, else, as it may be a word
+of the language, where it is all words of a line or of the document. Equal items
 each give their row; repeated document rows give a row each; empty tables give an
 empty result (or, for ``drop_contaminated``, the documents as they are). Columns
 other than id and text are ignored, or passed on unread by ``drop_contaminated``.
@@ -37,9 +40,15 @@ from gaugeline.llm.common import id_and_text, slices
 
 MIN_MATCH = 5
 COVERAGE = 0.5
+SHORT = 3
 BLOCK_CHARS = 16_000_000
 
-_WORD = re.compile(r"[^\W_]+")
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_LETTER = re.compile(f"[{_UNSPACED}]")
+_WORD = re.compile(rf"[^\W_{_UNSPACED}]+|(?=[^\W_])[{_UNSPACED}]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 FOUND = "doc_id long, item_id long, item_words int, matched_words int, tiles int, coverage double"
 
@@ -66,12 +75,17 @@ class Items:
         self.vocabulary: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
         places = defaultdict(list)
+        #: Items too short for a seed, by their words.
+        self.anywhere, self.alone = defaultdict(list), defaultdict(list)
         number = self.vocabulary.setdefault
         for item, text in rows:
             ids = np.array([number(w, len(self.vocabulary) + 1) for w in words(text)], np.uint64)
             for i, h in enumerate(running_hashes(ids, size).tolist()):
                 places[h].append((len(self.items), i))
             self.items.append((item, ids))
+            if 0 < len(ids) < size:
+                anywhere = len(ids) >= SHORT and not _LETTER.search(text)
+                (self.anywhere if anywhere else self.alone)[tuple(ids.tolist())].append(len(self.items) - 1)
         self.places = dict(places)
         self.seeds = np.sort(np.fromiter(self.places, np.uint64, len(self.places)))
 
@@ -107,6 +121,21 @@ class Items:
         ]
 
 
+    def short(self, text: str) -> list[tuple[int, int, int, int]]:
+        """As ``leaks``, the items too short for a seed."""
+        found = set()
+        number = lambda part: [self.vocabulary.get(w, 0) for w in words(part)]
+        if self.anywhere:
+            ids = number(text)
+            for n in {len(k) for k in self.anywhere}:
+                for i in range(len(ids) - n + 1):
+                    found.update(self.anywhere.get(tuple(ids[i : i + n]), ()))
+        if self.alone:
+            for part in [text, *text.splitlines()]:
+                found.update(self.alone.get(tuple(number(part)), ()))
+        return [(self.items[item][0], n, n, 1) for item in sorted(found) for n in [len(self.items[item][1])]]
+
+
 def tile(runs: list[tuple[int, int, int]], size: int) -> tuple[int, int]:
     """Marks the longest match first, then what is left of the others. Words marked
     and tiles laid. Of equally long matches the first in the item, then in the text."""
@@ -162,7 +191,7 @@ def contaminated(
             rows = []
             for doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 for block in parts:
-                    for item, total, matched, tiles in block.leaks(text):
+                    for item, total, matched, tiles in block.leaks(text) + block.short(text):
                         if matched >= coverage * total:
                             rows.append((doc, item, total, matched, tiles, matched / total))
             if rows:
@@ -190,7 +219,7 @@ def drop_contaminated(
     def keep(batches):
         for part in slices(batches):
             clean = [
-                not any(m >= coverage * n for b in parts for _, n, m, _ in b.leaks(text or ""))
+                not any(m >= coverage * n for b in parts for _, n, m, _ in b.leaks(text or "") + b.short(text or ""))
                 for text in part.column(text_col).to_pylist()
             ]
             yield part.filter(pa.array(clean, pa.bool_()))

@@ -74,3 +74,16 @@ def test_odd_rows(spark, docs, items):
     table = frame(spark, docs, wide=True)
     assert op.contaminated(table, bench(spark, items)).count() == 0
     assert op.drop_contaminated(table, bench(spark, items)).count() == len(docs)
+
+
+def test_unspaced_scripts_and_short_items(spark):
+    chinese = "今天天气很好，我们一起去公园散步，看见许多孩子在草地上放风筝，真是快乐的一天。"
+    thai = "วันนี้อากาศดีมากเราไปเดินเล่นที่สวนสาธารณะด้วยกัน"
+    items = bench(spark, [(1, chinese), (2, thai), (3, "Ada Lovelace"), (4, "the lazy brown fox"), (5, "东京")])
+    docs = [
+        (10, f"前面的话。{chinese}后面的话。"), (11, thai), (12, "ada lovelace"), (13, "Who?\nAda Lovelace.\nYes"),
+        (14, "see Ada Lovelace there"), (15, "It is the lazy brown fox again"), (16, "the lazy old brown fox"), (17, "东京"), (18, "我住在东京市"), (19, "完全不同的句子"),
+    ]
+    found = op.contaminated(frame(spark, docs), items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(10, 1), (11, 2), (12, 3), (13, 3), (15, 4), (17, 5)]
+    assert sorted(r["doc_id"] for r in op.drop_contaminated(frame(spark, docs), items).collect()) == [14, 16, 18, 19]
