@@ -38,9 +38,13 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def crc(id_col: str = "doc_id") -> Column:
+    """crc32 of the id as text; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+
+
 def crc_third(id_col: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 3; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3
+    return crc(id_col) % 3
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:

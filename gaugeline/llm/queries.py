@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import decontaminate, exact_dedup, language, near_dedup, pieces, pii, quality, secrets, substring_dedup, token_counts
-from gaugeline.llm.common import documents, tokenizer_file
-from gaugeline.llm.sql import EXACT_DEDUP_SQL, pii_sql
+from gaugeline.llm import decontaminate, exact_dedup, language, merkle, near_dedup, pieces, pii, quality, secrets, substring_dedup, token_counts
+from gaugeline.llm.common import crc, documents, tokenizer_file
+from gaugeline.llm.sql import EXACT_DEDUP_SQL, merkle_sql, pii_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_exact_dedup", EXACT_DEDUP_SQL)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
+@query("op11_merkle_manifest", merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(documents(spark, sf_dir), crc() % 5 == 0).drop("path")

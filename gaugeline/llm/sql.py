@@ -74,3 +74,63 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
        coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM documents d LEFT JOIN spans s ON s.doc_id = d.doc_id
 """
+
+
+#: crc32 of a number as text, bit by bit; a null is the empty text.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    list_filter(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: c <> ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _levels(first: str, count: int, tag: str) -> str:
+    """Groups of 16 nodes (g, p, h, n) level by level; n is the number of nodes of the tree."""
+    parts, source = [], first
+    for k in range(count):
+        parts.append(f"""
+{tag}r{k} AS (SELECT g, p // 16 AS p, list(h ORDER BY p) AS hs, any_value(n) AS n FROM {source} GROUP BY g, p // 16),
+{tag}l{k} AS (SELECT g, p, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h, (n + 15) // 16 AS n FROM {tag}r{k})""")
+        source = f"{tag}l{k}"
+    return ",".join(parts)
+
+
+def _folds(first: str, count: int, tag: str) -> str:
+    parts, source = [], first
+    for k in range(count):
+        parts.append(f"""
+{tag}f{k} AS (
+  SELECT f.* REPLACE (f.p // 16 AS p,
+      CASE WHEN n > 1 THEN sha256(array_to_string(hs[:f.p % 16] || [f.h] || hs[f.p % 16 + 2:], '')) ELSE f.h END AS h,
+      f.proof || CASE WHEN n > 1 THEN array_to_string(hs[:f.p % 16] || hs[f.p % 16 + 2:], '') ELSE '' END AS proof)
+  FROM {source} f JOIN {tag}r{k} r ON f.g IS NOT DISTINCT FROM r.g AND f.p // 16 = r.p)""")
+        source = f"{tag}f{k}"
+    return ",".join(parts)
+
+
+def merkle_sql(depth: int = 6, top: int = 4) -> str:
+    """Enough levels for 16 ** depth rows of a source and 16 ** top sources."""
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, source, sha256({head} || {field("text")}) AS leaf,
+         CASE WHEN {_CRC} % 5 = 0 THEN sha256({head} || {field(low)}) END AS shown
+  FROM documents),
+base AS (
+  SELECT *, source AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM leaves),
+nodes AS (SELECT g, p, leaf AS h, n FROM base),{_levels("nodes", depth, "s")},
+tops AS (
+  SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS p, h, count(*) OVER () AS n, g AS source
+  FROM sl{depth - 1}),{_levels("tops", top, "t")},
+fold0 AS (SELECT doc_id, leaf, source, g, p, coalesce(shown, leaf) AS h, '' AS proof FROM base),{_folds("fold0", depth, "s")},
+fold1 AS (
+  SELECT f.doc_id, f.leaf, t.h AS subroot, t.g, t.p, f.h, f.proof
+  FROM sf{depth - 1} f JOIN tops t ON f.source IS NOT DISTINCT FROM t.source),{_folds("fold1", top, "t")}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM tf{top - 1} f, tl{top - 1} r
+"""
