@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import decontaminate, exact_dedup, language, merkle, near_dedup, pieces, pii, quality, secrets, substring_dedup, token_counts
+from gaugeline.llm import decontaminate, exact_dedup, language, merkle, near_dedup, periodic_runs, pieces, pii, quality, secrets, substring_dedup, token_counts
 from gaugeline.llm.common import crc, documents, tokenizer_file
-from gaugeline.llm.sql import EXACT_DEDUP_SQL, merkle_sql, pii_sql
+from gaugeline.llm.sql import EXACT_DEDUP_SQL, RUNS_SQL, merkle_sql, pii_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_merkle_manifest", merkle_sql())
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(documents(spark, sf_dir), crc() % 5 == 0).drop("path")
+
+
+@query("op12_periodic_runs", RUNS_SQL)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = periodic_runs.with_period(documents(spark, sf_dir), crc())
+    return periodic_runs.report(periodic_runs.periodic_runs(edited))

@@ -134,3 +134,41 @@ fold1 AS (
 SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
 FROM tf{top - 1} f, tl{top - 1} r
 """
+
+
+RUNS_SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words, {_CRC} AS h
+  FROM documents),
+sized AS (SELECT *, len(words) AS n, h // 10 AS g FROM texts),
+placed AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM sized),
+edited AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN words ELSE
+      list_transform(range(n), lambda i: words[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) END AS words
+  FROM placed),
+each AS (SELECT doc_id, i, words[i + 1] AS word FROM (SELECT *, unnest(range(n)) AS i FROM edited)),
+grams AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER four AS gram, count(*) OVER four AS n FROM each
+  WINDOW four AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
+pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS period FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.gram = b.gram AND a.i < b.i
+  WHERE a.n = 4 AND b.n = 4),
+islands AS (
+  SELECT doc_id, period, i, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM pairs),
+stretches AS (
+  SELECT doc_id, min(i) AS start, period + count(*) + 3 AS length, period FROM islands GROUP BY doc_id, period, island),
+runs AS (
+  SELECT doc_id, start, length, min(period) AS period FROM stretches
+  WHERE length >= greatest(12, 2 * period) GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         max(struct_pack(l := length, s := -start, p := -period)) AS best
+  FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM each ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.s AS start, best.l AS length, -best.p AS period,
+       CAST(1000 * best.l // -best.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
