@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import decontaminate, exact_dedup, language, merkle, near_dedup, periodic_runs, pieces, pii, quality, secrets, substring_dedup, token_counts
+from gaugeline.llm import decontaminate, exact_dedup, language, merkle, near_dedup, periodic_runs, pieces, pii, quality, secrets, simhash, substring_dedup, token_counts
 from gaugeline.llm.common import crc, documents, tokenizer_file
 from gaugeline.llm.sql import EXACT_DEDUP_SQL, RUNS_SQL, merkle_sql, pii_sql
 
@@ -86,3 +87,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = periodic_runs.with_period(documents(spark, sf_dir), crc())
     return periodic_runs.report(periodic_runs.periodic_runs(edited))
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.with_next(documents(spark, sf_dir))
+    hexed = lambda c: F.lower(F.hex(c)).alias(c)
+    return simhash.within_radius(rows).select(
+        "doc_id", "n_chars", "edited_sha256", hexed("fingerprint"), hexed("edited_fingerprint"), "near_edited", "near_next", "class_id", "n_near"
+    )
