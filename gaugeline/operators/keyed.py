@@ -10,6 +10,11 @@ Keys are joined as one struct. Two structs are equal when their fields are, null
 included, so a plain equality join treats null keys alike. Per-key tables are
 grouped by the plain columns on purpose: the struct then needs a shuffle of that
 (small) table, and only a join of two fresh shuffles can be split by Spark.
+
+Where most keys occur once, ``split_repeated`` marks in two phases: hashes alone are
+counted, a written table of those that occur again is all that rows are held against,
+and only the rows it hits are looked at by their true keys. The other rows pass as they
+are, never grouped. Two keys with one hash are a false alarm, no error.
 """
 
 from __future__ import annotations
@@ -19,7 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.sources.scratch import written
+
 KEY = "_key"
+HASH = "_hash"
+ROW = "_row"
 
 
 def key_of(keys: Sequence[str]) -> Column:
@@ -73,3 +82,50 @@ def set_difference(df: DataFrame, other: DataFrame) -> DataFrame:
     """Distinct rows of ``df`` that are not in ``other``. Both sides are reduced
     to distinct rows first, so copies never meet in one join partition."""
     return df.distinct().subtract(other.distinct())
+
+
+def split_repeated(
+    df: DataFrame, keys: Sequence[str], differing: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key occurs once, and a written table of all rows of keys that may occur
+    more often, with ``_row``, a number of its own for each; with ``differing``, of keys
+    that may have more than one value in that column, null being a value. ``df`` is read
+    three times, the first time in ``keys`` only."""
+    hashed = df.withColumn(HASH, F.xxhash64(*keys))
+    hashes = hashed.groupBy(HASH)
+    if differing is None:
+        found = hashes.agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    else:
+        value = F.when(F.col(differing).isNotNull(), F.xxhash64(differing)).otherwise(0)
+        found = hashes.agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+        found = found.filter("_low <> _high")
+    repeated = written(found.select(HASH), "repeated")
+    once = hashed.join(repeated, HASH, "left_anti").drop(HASH)
+    again = hashed.join(repeated, HASH, "left_semi").drop(HASH)
+    return once, written(again.withColumn(ROW, F.monotonically_increasing_id()), "affected")
+
+
+def first_of_repeated(
+    affected: DataFrame, keys: Sequence[str], order: str, copies: str | None = None
+) -> DataFrame:
+    """One row per key of ``affected`` (as ``split_repeated`` gives it): the least by
+    ``order``, a number or time, null last; of several such the one with the least hash
+    of its columns, whatever the order of the rows. ``copies`` names a column for the
+    number of rows of the key. All aggregates hold numbers only."""
+    slim = affected.select(
+        *keys,
+        F.col(order).alias("_order"),
+        ROW,
+        F.xxhash64(*[c for c in affected.columns if c != ROW]).alias("_tie"),
+    )
+    least = slim.groupBy(*keys).agg(
+        F.min("_order").alias("_least"), F.count(F.lit(1)).alias("_copies")
+    )
+    first = join_per_key(slim, least, keys, "inner").filter(
+        F.col("_order").eqNullSafe(F.col("_least"))
+    )
+    chosen = first.groupBy(*keys).agg(
+        F.min_by(ROW, "_tie").alias(ROW), F.max("_copies").alias("_copies")
+    )
+    kept = affected.join(chosen.select(ROW, "_copies"), ROW).drop(ROW)
+    return kept.withColumnRenamed("_copies", copies) if copies else kept.drop("_copies")

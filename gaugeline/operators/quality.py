@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gaugeline import schema as S
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions.times import as_date
-from gaugeline.operators.keyed import first_per_key, join_per_key
+from gaugeline.operators.keyed import ROW, first_of_repeated, join_per_key, split_repeated
 from gaugeline.settings import Settings
 
 REASON = "rejectReason"
@@ -87,20 +87,19 @@ def reject_out_of_window(df: DataFrame, settings: Settings, as_of: dt.date) -> D
 
 
 def drop_duplicates(
-    df: DataFrame,
-    key: Sequence[str] = S.DUPLICATE_KEY,
-    order: Sequence[str] = ("identReading",),
+    df: DataFrame, key: Sequence[str] = S.DUPLICATE_KEY, order: str = "identReading"
 ) -> DataFrame:
-    return first_per_key(df, key, order)
+    """One row per key, the least by ``order``."""
+    once, affected = split_repeated(df, key)
+    return once.unionByName(first_of_repeated(affected, key, order))
 
 
 def duplicate_report(
-    df: DataFrame,
-    key: Sequence[str] = S.DUPLICATE_KEY,
-    order: Sequence[str] = ("identReading",),
+    df: DataFrame, key: Sequence[str] = S.DUPLICATE_KEY, order: str = "identReading"
 ) -> DataFrame:
     """One row per key that occurs more than once, the one that is kept."""
-    counted = first_per_key(df, key, order, copies="_copies")
+    _, affected = split_repeated(df, key)
+    counted = first_of_repeated(affected, key, order, copies="_copies")
     return (
         counted.filter(F.col("_copies") > 1)
         .drop("_copies")
@@ -111,39 +110,38 @@ def duplicate_report(
 def conflicting_keys(
     df: DataFrame, key: Sequence[str] = S.CONFLICT_KEY, value: str = "readingsValue"
 ) -> DataFrame:
-    """Keys with more than one distinct value, null being a value of its own. Two
-    extremes and two counts tell, so a key with countless values still reduces
-    to one small row per map task."""
-    bounds = df.groupBy(*key).agg(
-        F.min(value).alias("_low"),
-        F.max(value).alias("_high"),
-        F.count(value).alias("_known"),
-        F.count(F.lit(1)).alias("_all"),
-    )
-    differ = (F.col("_low") != F.col("_high")) | (
-        (F.col("_known") > 0) & (F.col("_known") < F.col("_all"))
-    )
-    return bounds.filter(differ).select(*key)
+    """Keys with more than one distinct value, null being a value of its own. The rows are
+    reduced to distinct values, so that a key with countless copies is one row per map
+    task, and one with countless values is counted by many tasks first."""
+    values = df.select(*key, value).distinct()
+    several = values.groupBy(*key).agg(F.count(F.lit(1)).alias("_values"))
+    return several.filter("_values > 1").select(*key)
+
+
+def _with_conflicts(affected: DataFrame, key: Sequence[str], rows: DataFrame, value: str) -> DataFrame:
+    conflicts = conflicting_keys(affected, key, value).withColumn("_conflict", F.lit(True))
+    marked = join_per_key(rows, conflicts, key, "left")
+    return _mark(marked, (F.col("_conflict"), fv.REASON_CONFLICT)).drop("_conflict")
 
 
 def reject_conflicts(
     df: DataFrame, key: Sequence[str] = S.CONFLICT_KEY, value: str = "readingsValue"
 ) -> DataFrame:
     """All rows of a conflicting key leave, whatever their number."""
-    conflicts = conflicting_keys(df, key, value).withColumn("_conflict", F.lit(True))
-    marked = join_per_key(df, conflicts, key, "left")
-    return _mark(marked, (F.col("_conflict"), fv.REASON_CONFLICT)).drop("_conflict")
+    once, affected = split_repeated(df, key, differing=value)
+    marked = _with_conflicts(affected, key, affected.drop(ROW), value)
+    return _mark(once, (F.lit(False), fv.REASON_CONFLICT)).unionByName(marked)
 
 
-def resolve_duplicates(
-    df: DataFrame, order: Sequence[str] = ("identReading",)
-) -> DataFrame:
+def resolve_duplicates(df: DataFrame, order: str = "identReading") -> DataFrame:
     """Copies and conflicts in one go: one row per distinct reading, with
-    ``copies`` and the reject reason of conflicting keys."""
-    conflicts = conflicting_keys(df).withColumn("_conflict", F.lit(True))
-    counted = first_per_key(df, S.DUPLICATE_KEY, order, copies="copies")
-    marked = join_per_key(counted, conflicts, S.CONFLICT_KEY)
-    return _mark(marked, (F.col("_conflict"), fv.REASON_CONFLICT)).drop("_conflict")
+    ``copies`` and the reject reason of conflicting keys. Readings whose key occurs once,
+    as most do, are neither grouped nor sorted."""
+    once, affected = split_repeated(df, S.CONFLICT_KEY)
+    first = first_of_repeated(affected, S.DUPLICATE_KEY, order, copies="copies")
+    marked = _with_conflicts(affected, S.CONFLICT_KEY, first, "readingsValue")
+    untouched = once.withColumn("copies", F.lit(1).cast("long"))
+    return _mark(untouched, (F.lit(False), fv.REASON_CONFLICT)).unionByName(marked)
 
 
 def reported_copies(resolved: DataFrame) -> DataFrame:
