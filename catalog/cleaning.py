@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.base import AS_OF, READINGS, event_readings, query, shown, sql_time, table
@@ -9,6 +11,8 @@ from gaugeline import schema as S
 from gaugeline.functions import times
 from gaugeline.operators import keyed, output, quality, versioning
 from gaugeline.settings import Settings
+from gaugeline.sources import store
+from gaugeline.sources.scratch import fresh_path
 
 SETTINGS = Settings(
     load_profile_past_days=3,
@@ -266,6 +270,31 @@ def c08(spark, sf):
     )
 
 
+@query(
+    "c08_versions_of_batch",
+    f"""WITH {_STORED_SQL}, {_LATEST_SQL}, {_NEW_SQL}
+ SELECT l.servicePointId, l.variableId, l.logNumber, {sql_time('l.readingUtcLocalTime')} AS readingUtcLocalTime,
+  l.owner, l.readingsValue, l.version FROM latest l SEMI JOIN fresh f
+  ON f.servicePointId = l.servicePointId AND f.variableId = l.variableId
+  AND f.logNumber IS NOT DISTINCT FROM l.logNumber AND f.readingUtcLocalTime = l.readingUtcLocalTime
+  AND f.owner = l.owner AND f.readingType <> 'EVENTS'
+ WHERE EXTRACT(month FROM l.readingUtcLocalTime) IN (3, 11)""",
+)
+def c08_batch(spark, sf):
+    """All orders stored by week, and a batch of those of two months of each year."""
+    kind = F.lit("REGISTERS").alias("readingType")
+    name = f"versions_{uuid.uuid4().hex}"
+    store.append_versions(
+        stored_readings(spark, sf).select("*", kind), name, path=fresh_path(spark, "versions"), buckets=2
+    )
+    batch = new_readings(spark, sf).filter(F.month("readingUtcLocalTime").isin(3, 11))
+    found = store.versions_of_batch(store.read_versions(spark, name), batch)
+    return shown(
+        versioning.latest_version(found),
+        "servicePointId", "variableId", "logNumber", "readingUtcLocalTime", "owner", "readingsValue", "version",
+    )
+
+
 @query(
     "c09_assign_version",
     f"""WITH {_STORED_SQL}, {_LATEST_SQL}, {_NEW_SQL}

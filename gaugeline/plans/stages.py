@@ -26,6 +26,7 @@ from gaugeline.operators.flatten import (
 )
 from gaugeline.operators.readings import cast_readings, drop_unnamed
 from gaugeline.settings import Settings
+from gaugeline.sources import store
 from gaugeline.sources.documents import read_readings_xml, with_source_keys
 from gaugeline.sources.scratch import written
 from gaugeline.sources.tables import earliest_time, recent_versions
@@ -93,9 +94,10 @@ def clean(
     as_of: dt.date,
     stamp: str | None = None,
 ) -> Cleaned:
-    """Six quality steps. ``stored`` holds the readings accepted before, as
-    ``read_stored`` or ``recent_versions`` give them or the whole table: only the
-    part from the batch's earliest time on is read."""
+    """Six quality steps. ``stored`` holds the readings accepted before. Of a versioned
+    store (``sources.store``) the batch's own weeks and keys are read; of another table,
+    such as ``read_stored`` or ``recent_versions`` give, the part from the batch's
+    earliest time on."""
     stamp = stamp or dt.datetime.combine(as_of, dt.time()).isoformat(timespec="microseconds")
 
     flagged = quality.reject_unassociated(quality.reject_unknown_type(enriched))
@@ -106,7 +108,10 @@ def clean(
     passed, refused = quality.split(flagged)
 
     resolved = quality.resolve_duplicates(passed)
-    recent = recent_versions(stored, earliest_time(passed)).select(*_STORED)
+    if store.is_store(stored):
+        recent = store.versions_of_batch(stored, passed).select(*_STORED)
+    else:
+        recent = recent_versions(stored, earliest_time(passed)).select(*_STORED)
     decided = written(
         versioning.assign_version(resolved, versioning.latest_version(recent)),
         "decided",
