@@ -8,7 +8,7 @@ from catalog.base import READINGS, event_readings, query, shown, sql_time, table
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import times
 from gaugeline.operators import intervals as iv
-from gaugeline.operators import quality
+from gaugeline.operators.keyed import first_per_key
 from gaugeline.settings import Settings
 
 SETTINGS = Settings(fill_with_zero=True, outage_flags=("1-2-32",))
@@ -25,7 +25,7 @@ def profile_readings(spark, sf):
         (F.col("readingType") == fv.LOAD_PROFILE)
         & F.col("readingUtcLocalTime").isNotNull()
     )
-    return quality.drop_duplicates(df, _INSTANT)
+    return first_per_key(df, _INSTANT, ["identReading"])
 
 
 _SERIES = "servicePointId, deviceId, meteringType, variableId, logNumber"
@@ -299,11 +299,9 @@ summed AS (SELECT l_orderkey, size, min(step) AS lo, max(step) AS hi,
  FROM filled GROUP BY l_orderkey, size)"""
 
 
-def line_series(spark, sf):
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    size = F.when(order % 2 == 0, 15).otherwise(60)
-    shifted = line + F.when((order % 3 == 0) & (line >= 3), 1).otherwise(0)
-    off = F.when((order % 5 == 0) & (line == 2), 7).otherwise(0)
+def _of_lines(spark, sf, minutes, size):
+    """Marked readings made of lines: an order is a series."""
+    order = F.col("l_orderkey")
     start = F.timestamp_add("DAY", order % 300, F.lit("2024-01-01").cast("timestamp_ntz"))
     readings = table(spark, sf, "lineitem").select(
         F.concat(F.lit("SP-"), order).alias("servicePointId"),
@@ -311,7 +309,7 @@ def line_series(spark, sf):
         F.lit("MAIN").alias("meteringType"),
         F.lit("kWh").alias("variableId"),
         F.lit(1).alias("logNumber"),
-        F.timestamp_add("MINUTE", size * shifted + off, start).alias("readingUtcLocalTime"),
+        F.timestamp_add("MINUTE", minutes, start).alias("readingUtcLocalTime"),
         size.alias("intervalSize"),
         F.lit("LOAD PROFILE READING").alias("readingType"),
         F.lit("guid").alias("guidFile"),
@@ -319,11 +317,19 @@ def line_series(spark, sf):
         F.lit("HES").alias("readingsSource"),
         F.lit(0).alias("identReading"),
     )
-    filled = iv.fill_gaps(quality.drop_duplicates(readings, _INSTANT))
+    filled = iv.fill_gaps(first_per_key(readings, _INSTANT, ["identReading"]))
     mark = iv.interval_mark(F.lit(None).cast("string"), F.col("isOriginal"), SETTINGS)
     return filled.withColumn("intervalMark", mark)
 
 
+def line_series(spark, sf):
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    size = F.when(order % 2 == 0, 15).otherwise(60)
+    shifted = line + F.when((order % 3 == 0) & (line >= 3), 1).otherwise(0)
+    off = F.when((order % 5 == 0) & (line == 2), 7).otherwise(0)
+    return _of_lines(spark, sf, size * shifted + off, size)
+
+
 @query(
     "c18_series_of_lines",
     f"""WITH {_LINES_SQL} SELECT 'SP-' || l_orderkey AS servicePointId,
@@ -366,3 +372,81 @@ def completeness_by_interval(spark, sf):
         F.sum("actual").alias("actual"),
         F.count_if(F.col("result") == fv.RESULT_SUCCESS).alias("complete"),
     )
+
+
+# The same with intervals that change: an order in four goes from 60 to 15 minutes with
+# its fourth line, another one has two lines of 30 minutes between those of 60. A third
+# lacks the time before its fifth line.
+_SIZE_SQL = """CASE WHEN l_orderkey % 4 = 0 AND l_linenumber >= 4 THEN 15
+   WHEN l_orderkey % 4 = 1 AND l_linenumber IN (3, 4) THEN 30 ELSE 60 END"""
+_SWITCHED_SQL = f"""lines AS (SELECT l_orderkey, {_SIZE_SQL} AS size,
+  CASE l_orderkey % 4 WHEN 0 THEN 60 * least(l_linenumber, 4) + 15 * greatest(l_linenumber - 4, 0)
+   WHEN 1 THEN 60 * l_linenumber - 30 * CASE WHEN l_linenumber >= 5 THEN 2 WHEN l_linenumber = 4 THEN 1 ELSE 0 END
+   ELSE 60 * l_linenumber END
+  + CASE WHEN l_orderkey % 3 = 0 AND l_linenumber >= 5 THEN {_SIZE_SQL} ELSE 0 END AS minutes FROM lineitem),
+once AS (SELECT DISTINCT l_orderkey, size, TIMESTAMP '2024-01-01' + to_days(CAST(l_orderkey % 300 AS INTEGER))
+  + to_minutes(CAST(minutes AS INTEGER)) AS t FROM lines),
+followed AS (SELECT *, lead(t) OVER (PARTITION BY l_orderkey ORDER BY t) AS following FROM once),
+filled AS (SELECT l_orderkey, size, t, unnest(generate_series(t,
+  coalesce(following - INTERVAL 1 SECOND, t), to_minutes(size))) AS step FROM followed),
+changes AS (SELECT *, CASE WHEN size <> lag(size) OVER (PARTITION BY l_orderkey ORDER BY step) THEN 1 ELSE 0 END AS change FROM filled),
+numbered AS (SELECT *, sum(change) OVER (PARTITION BY l_orderkey ORDER BY step ROWS UNBOUNDED PRECEDING) AS segment FROM changes),
+segments AS (SELECT l_orderkey, segment, size, min(step) AS lo, max(step) AS hi,
+  date_diff('minute', min(step), max(step)) // size + 1 AS expected,
+  count(*) FILTER (WHERE step = t) AS actual, count(*) FILTER (WHERE step <> t) AS unmarked
+ FROM numbered GROUP BY l_orderkey, segment, size),
+judged AS (SELECT *, greatest(expected - actual, unmarked) AS missing, unmarked = 0 AND actual >= expected AS complete FROM segments)"""
+
+
+def switched_series(spark, sf):
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    size = F.when((order % 4 == 0) & (line >= 4), 15).when((order % 4 == 1) & line.isin(3, 4), 30).otherwise(60)
+    less = F.when(line >= 5, 60).when(line == 4, 30).otherwise(0)
+    minutes = (
+        F.when(order % 4 == 0, F.least(line, F.lit(4)) * 60 + F.greatest(line - 4, F.lit(0)) * 15)
+        .when(order % 4 == 1, line * 60 - less)
+        .otherwise(line * 60)
+    )
+    shift = F.when((order % 3 == 0) & (line >= 5), size).otherwise(0)
+    return _of_lines(spark, sf, minutes + shift, size)
+
+
+@query(
+    "c18_segments_of_lines",
+    f"""WITH {_SWITCHED_SQL} SELECT 'SP-' || l_orderkey AS servicePointId, CAST(segment AS BIGINT) AS segment,
+ size AS intervalSize, {sql_time('lo')} AS minTime, {sql_time('hi')} AS maxTime, CAST(expected AS BIGINT) AS expected,
+ actual, CAST(missing AS BIGINT) AS missing, CASE WHEN complete THEN 'Successful' ELSE 'Failed' END AS result
+ FROM judged""",
+)
+def segments_of_lines(spark, sf):
+    return shown(
+        iv.segment_summary(switched_series(spark, sf)),
+        "servicePointId", "segment", "intervalSize", "minTime", "maxTime", "expected", "actual", "missing", "result",
+    )
+
+
+@query(
+    "c18_switched_series",
+    f"""WITH {_SWITCHED_SQL} SELECT 'SP-' || l_orderkey AS servicePointId,
+ {sql_time('min(lo)')} AS minTime, {sql_time('max(hi)')} AS maxTime, CAST(sum(expected) AS BIGINT) AS expected,
+ CAST(sum(actual) AS BIGINT) AS actual, CAST(sum(missing) AS BIGINT) AS missing,
+ CASE WHEN bool_and(complete) THEN 'Successful' ELSE 'Failed' END AS result
+ FROM judged GROUP BY l_orderkey""",
+)
+def switched_summary(spark, sf):
+    return shown(
+        iv.series_summary(switched_series(spark, sf)),
+        "servicePointId", "minTime", "maxTime", "expected", "actual", "missing", "result",
+    )
+
+
+@query(
+    "c17_validity_of_switched",
+    f"""WITH {_SWITCHED_SQL}, whole AS (SELECT l_orderkey, bool_and(complete) AS complete FROM judged GROUP BY l_orderkey)
+ SELECT 'SP-' || l_orderkey AS servicePointId, {sql_time('step')} AS readingUtcLocalTime,
+  complete OR step = t AS usageValid FROM filled JOIN whole USING (l_orderkey)""",
+)
+def validity_of_switched(spark, sf):
+    rows = switched_series(spark, sf)
+    valid = iv.validate_intervals(rows, iv.series_summary(rows))
+    return shown(valid, "servicePointId", "readingUtcLocalTime", "usageValid")

@@ -6,6 +6,10 @@ over (series, day), and the first reading of the next day comes from a
 per-day minimum. With at most one reading per series and instant, which
 ``resolve_duplicates`` guarantees, a day holds no more rows than it has
 seconds. Completeness needs only sums, joined back to the rows.
+
+What grows most is what is made here: steps. A long gap's chunks are dealt out to all
+tasks before they are expanded, and the grid is cut into equal shares of steps, whatever
+the lengths of its series.
 """
 
 from __future__ import annotations
@@ -21,12 +25,17 @@ from gaugeline.functions import normalize as norm
 from gaugeline.functions import times
 from gaugeline.operators.keyed import join_per_key
 from gaugeline.settings import Settings
+from gaugeline.sources.scratch import written
 
 TIME = "readingUtcLocalTime"
 STEP = "intervalSize"
 
 # Steps expanded per array, so that a gap of any length keeps arrays small.
 _CHUNK = 10_000
+# Steps of a grid that one task makes.
+_SHARE = 1_000_000
+# Low bits of a row id: the position inside its partition.
+_POSITION_BITS = (1 << 33) - 1
 
 
 def quality_flag(df: DataFrame) -> DataFrame:
@@ -40,18 +49,60 @@ def quality_flag(df: DataFrame) -> DataFrame:
     )
 
 
-def _steps(df: DataFrame, count: Column, name: str) -> DataFrame:
-    """Each row once per step 0 .. count - 1, in two levels of short arrays."""
-    zero = F.lit(0).cast("long")
-    chunks = F.sequence(zero, (F.greatest(count, F.lit(1)) - 1).cast("long"), F.lit(_CHUNK).cast("long"))
-    outer = df.withColumn("_last", (count - 1).cast("long")).withColumn(
-        "_chunk", F.explode(chunks)
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _range(first: Column | int, last: Column, step: int = 1) -> Column:
+    """first, first + step .. last; only ``first`` if ``last`` is below it."""
+    first = first if isinstance(first, Column) else F.lit(first)
+    first = first.cast("long")
+    return F.sequence(first, F.greatest(first, last.cast("long")), F.lit(step).cast("long"))
+
+
+def _expanded(chunks: DataFrame, last: Column, name: str) -> DataFrame:
+    """Each chunk (of first step ``_chunk``) once per step up to ``last``."""
+    end = F.least(F.col("_chunk") + (_CHUNK - 1), last)
+    return chunks.withColumn(name, F.explode(_range(F.col("_chunk"), end))).drop("_chunk")
+
+
+def _equal_shares(rows: DataFrame, weight: str) -> DataFrame:
+    """``rows`` cut into pieces ``_first .. _last`` of their ``weight`` steps (from 0), dealt
+    out so that all tasks have equally many steps: the steps of all rows stand in one row,
+    by running sums inside each task and over the tasks, and are cut at equal distances."""
+    fixed = written(
+        rows.withColumns(
+            {
+                "_part": F.spark_partition_id(),
+                "_at": F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)),
+            }
+        ),
+        "weighted",
+    )
+    sums = fixed.groupBy("_part").agg(F.sum(weight).alias("_sum"))
+    total = sums.agg(F.sum("_sum")).first()[0] or 0
+    tasks = max(1, -(-total // _SHARE), min(_tasks(rows), -(-total // _CHUNK)))
+    share = max(1, -(-total // tasks))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    nothing = F.lit(0).cast("long")
+    # One row per task that wrote.
+    offsets = sums.select(
+        "_part", F.coalesce(F.sum("_sum").over(earlier(Window.orderBy("_part"))), nothing).alias("_offset")
     )
-    inner = F.sequence(
-        F.col("_chunk"),
-        F.greatest(F.col("_chunk"), F.least(F.col("_chunk") + (_CHUNK - 1), F.col("_last"))),
+    inside = F.coalesce(F.sum(weight).over(earlier(Window.partitionBy("_part").orderBy("_at"))), nothing)
+    placed = fixed.join(offsets, "_part").withColumn("_start", F.col("_offset") + inside)
+    end = F.col("_start") + F.col(weight) - 1
+    pieces = placed.withColumn(
+        "_task", F.explode(_range(F.floor(F.col("_start") / share), F.floor(end / share)))
+    )
+    cut = pieces.withColumns(
+        {
+            "_first": F.greatest(F.col("_task") * share, F.col("_start")) - F.col("_start"),
+            "_last": F.least((F.col("_task") + 1) * share - 1, end) - F.col("_start"),
+        }
     )
-    return outer.withColumn(name, F.explode(inner)).drop("_last", "_chunk")
+    dealt = cut.repartitionById(tasks, F.col("_task").cast("int"))
+    return dealt.drop("_part", "_at", "_offset", "_start", "_task")
 
 
 def _minutes_after(start: Column, minutes: Column) -> Column:
@@ -79,43 +130,24 @@ def expected_grid(
         _valid_step(F.col("_step")).isNotNull(),
         times.minutes_between(F.col("_from"), F.col("_to")),
     ).otherwise(0)
-    # The bounds are few rows; the grid is large. Spreading the long series'
-    # chunks over tasks happens before they are expanded.
-    chunked = bounds.select(
+    # The bounds are few rows; the grid is large.
+    sized = bounds.select(
         *series,
         "_from",
         stride.alias("_stride"),
-        F.floor(span / stride).alias("_last"),
-    ).withColumn(
-        "_chunk",
-        F.explode(
-            F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(_CHUNK).cast("long"))
-        ),
+        (F.floor(span / stride) + 1).cast("long").alias("_count"),
     )
-    # A fixed number: sizes before the expansion would merge all into one task.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = chunked.repartition(tasks, *series, "_chunk")
-    return spread.withColumn(
-        "_n",
-        F.explode(
-            F.sequence(
-                F.col("_chunk"), F.least(F.col("_chunk") + (_CHUNK - 1), F.col("_last"))
-            )
-        ),
-    ).select(
+    pieces = _equal_shares(sized, "_count")
+    chunks = pieces.withColumn("_chunk", F.explode(_range(F.col("_first"), F.col("_last"), _CHUNK)))
+    return _expanded(chunks, F.col("_last"), "_n").select(
         *series,
         _minutes_after(F.col("_from"), F.col("_n") * F.col("_stride")).alias(time),
     )
 
 
-def with_next_time(
-    df: DataFrame,
-    series: Sequence[str] = S.SERIES_KEY,
-    time: str = TIME,
-    order: Sequence[str] = ("identReading",),
-    name: str = "nextTime",
-) -> DataFrame:
-    """Time of the following reading of the same series, null for the last."""
+def _slices(df: DataFrame, series: Sequence[str], time: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_slice``, their series and day, and per slice the first time in the
+    series' next slice, ``_following``, where there is one."""
     day = F.col(time).cast("date").alias("_start")
     sliced = df.withColumn("_slice", F.struct(*series, day))
     firsts = sliced.groupBy("_slice").agg(F.min(time).alias("_first"))
@@ -125,6 +157,12 @@ def with_next_time(
         "_slice",
         F.lead("_first").over(calendar.orderBy("_slice._start")).alias("_following"),
     ).filter(F.col("_following").isNotNull())
+    return sliced, following
+
+
+def _followed(
+    sliced: DataFrame, following: DataFrame, time: str, order: Sequence[str], name: str
+) -> DataFrame:
     # Join and window share the one shuffle of the rows by series and slice.
     in_slice = Window.partitionBy("_slice").orderBy(time, *order)
     return (
@@ -134,6 +172,31 @@ def with_next_time(
     )
 
 
+def with_next_time(
+    df: DataFrame,
+    series: Sequence[str] = S.SERIES_KEY,
+    time: str = TIME,
+    order: Sequence[str] = ("identReading",),
+    name: str = "nextTime",
+) -> DataFrame:
+    """Time of the following reading of the same series, null for the last."""
+    return _followed(*_slices(df, series, time), time, order, name)
+
+
+def _before_long_gaps(
+    sliced: DataFrame, following: DataFrame, time: str, order: Sequence[str]
+) -> DataFrame:
+    """The last readings, with ``nextTime``, of the days after which a series has none for
+    so long that the gap may need more steps than an array should hold. Steps are whole
+    minutes, so a gap that needs them spans days, and is known from the days alone."""
+    days = F.date_diff(F.col("_following").cast("date"), F.col("_slice._start"))
+    far = following.filter(days >= _CHUNK // 1440)
+    backwards = Window.partitionBy("_slice").orderBy(*[F.col(c).desc() for c in (time, *order)])
+    rows = sliced.join(far, "_slice").withColumn("_place", F.row_number().over(backwards))
+    last = rows.filter("_place = 1").drop("_place", "_slice")
+    return last.withColumnRenamed("_following", "nextTime")
+
+
 def fill_gaps(
     df: DataFrame,
     series: Sequence[str] = S.SERIES_KEY,
@@ -143,16 +206,30 @@ def fill_gaps(
 ) -> DataFrame:
     """Each reading followed by one row per missing step up to the next reading.
     Gap rows copy the previous reading; ``isOriginal`` tells them apart. A
-    reading without a positive interval gets no gap rows."""
-    followed = with_next_time(df, series, time, order)
+    reading without a positive interval gets no gap rows.
+
+    A gap of more than ``_CHUNK`` steps becomes chunks, which go to all tasks in turn
+    before they are expanded; other gaps grow where their reading is."""
+    sliced, following = _slices(df, series, time)
     stride = _valid_step(F.col(step))
     distance = times.seconds_between(F.col(time), F.col("nextTime"))
     # Steps strictly before the next reading.
     count = F.coalesce(
         F.when(distance > 0, F.ceil(distance / (stride * 60))), F.lit(1)
     )
+    near = _followed(sliced, following, time, order, "nextTime").withColumn("_count", count)
+    short = F.when(F.col("_count") <= _CHUNK, F.col("_count")).otherwise(1)
+    near = near.withColumn("_n", F.explode(_range(0, short - 1)))
+
+    far = _before_long_gaps(sliced, following, time, order).withColumn("_count", count)
+    far = far.filter(F.col("_count") > _CHUNK)
+    chunks = far.withColumn("_chunk", F.explode(_range(1, F.col("_count") - 1, _CHUNK)))
+    turn = F.xxhash64(*series, time) % 1_000_003 + F.floor(F.col("_chunk") / _CHUNK)
+    dealt = chunks.repartitionById(_tasks(df), F.pmod(turn, F.lit(_tasks(df))).cast("int"))
+    expanded = _expanded(dealt, F.col("_count") - 1, "_n")
+
     others = [name for name in df.columns if name != time]
-    return _steps(followed, count, "_n").select(
+    return near.select(*df.columns, "_n").unionByName(expanded.select(*df.columns, "_n")).select(
         *others,
         F.when(F.col("_n") == 0, F.col(time))
         .otherwise(_minutes_after(F.col(time), F.col("_n") * F.coalesce(stride, F.lit(0))))
@@ -213,44 +290,144 @@ def complete_fill(filled: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def series_summary(
+def with_segment(
     df: DataFrame,
     series: Sequence[str] = S.SERIES_KEY,
     time: str = TIME,
     step: str = STEP,
-    mark: str = "intervalMark",
-    attributes: Sequence[str] = (),
+    name: str = "segment",
 ) -> DataFrame:
-    """Per series: first and last time, expected, actual and missing readings and
-    the result. Sums and extremes only, combined before the shuffle.
-    ``attributes`` are descriptive columns of the series to carry along.
+    """Numbers, from 0, the stretches of a series in which all rows have one interval.
+
+    An interval counts as changed where it differs from that of the row before. Rows look
+    back inside their (series, day) only; each day's first and last interval and number of
+    changes, one row per day, tell how many changes are before it."""
+    day = F.struct(*series, F.col(time).cast("date").alias("_day"))
+    sliced = df.withColumn("_slice", day)
+    in_slice = Window.partitionBy("_slice").orderBy(time, step)
+    before = F.lag(step).over(in_slice)
+    opens = F.row_number().over(in_slice) == 1
+    changed = sliced.withColumn(
+        "_change", F.when(opens, 0).otherwise((~F.col(step).eqNullSafe(before)).cast("int"))
+    )
+    order = F.struct(time, step)
+    days = changed.groupBy("_slice").agg(
+        F.min_by(step, order).alias("_opening"),
+        F.max_by(step, order).alias("_closing"),
+        F.sum("_change").alias("_changes"),
+    )
+    calendar = Window.partitionBy(*[F.col("_slice").getField(s) for s in series]).orderBy("_slice._day")
+    first = F.row_number().over(calendar) == 1
+    switched = F.when(first, 0).otherwise((~F.col("_opening").eqNullSafe(F.lag("_closing").over(calendar))).cast("int"))
+    stepped = days.withColumn("_switched", switched)
+    earlier = calendar.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stepped.select(
+        "_slice",
+        (F.coalesce(F.sum(F.col("_changes") + F.col("_switched")).over(earlier), F.lit(0)) + F.col("_switched")).alias("_offset"),
+    )
+    so_far = F.sum("_change").over(in_slice.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        changed.withColumn(name, so_far)
+        .join(offsets, "_slice")
+        .withColumn(name, (F.col(name) + F.col("_offset")).cast("long"))
+        .drop("_slice", "_change", "_offset")
+    )
 
-    The smallest interval of a series counts: one that changes its interval is
-    complete only if it has all readings of the smaller one. Readings off the grid
-    make up for no gap: a series with an unmarked row is not complete, whatever the
-    counts, and ``missing`` is at least the number of such rows, never negative."""
-    bounds = df.groupBy(*series).agg(
-        *[F.min(name).alias(name) for name in attributes],
+
+def _bounds(time: str, mark: str) -> list[Column]:
+    return [
         F.min(time).alias("minTime"),
         F.max(time).alias("maxTime"),
-        F.min(step).alias("_step"),
         F.count(mark).alias("actual"),
         F.count_if(F.col(mark).isNull()).alias("_unmarked"),
-    )
+    ]
+
+
+def _expected(bounds: DataFrame) -> DataFrame:
     span = times.minutes_between(F.col("minTime"), F.col("maxTime"))
     expected = (F.floor(span / _valid_step(F.col("_step"))) + 1).cast("long")
+    return bounds.withColumn("expected", expected)
+
+
+def segment_summary(
+    df: DataFrame,
+    series: Sequence[str] = S.SERIES_KEY,
+    time: str = TIME,
+    step: str = STEP,
+    mark: str = "intervalMark",
+) -> DataFrame:
+    """Per stretch of a series with one interval: its number ``segment``, its interval,
+    first and last time, expected, actual and missing readings, and the result, as
+    ``series_summary`` has them per series. Gap rows have the interval of the reading
+    before them, so the time up to the first reading of the next stretch is theirs."""
+    segments = with_segment(df, series, time, step).groupBy(*series, "segment")
+    bounds = segments.agg(F.min(step).alias("_step"), *_bounds(time, mark))
+    return _judged(_expected(bounds), [*series, "segment", F.col("_step").alias(step)])
+
+
+def _judged(bounds: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
+    complete = (F.col("_unmarked") == 0) & (F.col("actual") >= F.col("expected"))
     return bounds.select(
-        *series,
-        *attributes,
+        *columns,
         "minTime",
         "maxTime",
-        expected.alias("expected"),
+        "expected",
         "actual",
-        F.greatest(expected - F.col("actual"), F.col("_unmarked")).alias("missing"),
-        F.when((F.col("_unmarked") == 0) & (F.col("actual") >= expected), fv.RESULT_SUCCESS)
+        F.greatest(F.col("expected") - F.col("actual"), F.col("_unmarked")).alias("missing"),
+        F.when(complete, fv.RESULT_SUCCESS).otherwise(fv.RESULT_FAILED).alias("result"),
+    )
+
+
+def series_bounds(
+    df: DataFrame, series: Sequence[str], time: str, step: str, mark: str, attributes: Sequence[str]
+) -> DataFrame:
+    """What ``series_summary`` judges a series by, and whether it changes its interval."""
+    return df.groupBy(*series).agg(
+        *[F.min(name).alias(f"_attribute{i}") for i, name in enumerate(attributes)],
+        F.min(step).alias("_step"),
+        F.max(step).alias("_most"),
+        F.count(step).alias("_stepped"),
+        F.count(F.lit(1)).alias("_rows"),
+        *_bounds(time, mark),
+    )
+
+
+def series_summary(
+    df: DataFrame,
+    series: Sequence[str] = S.SERIES_KEY,
+    time: str = TIME,
+    step: str = STEP,
+    mark: str = "intervalMark",
+    attributes: Sequence[str] = (),
+) -> DataFrame:
+    """Per series: first and last time, expected, actual and missing readings and
+    the result. Sums and extremes only, combined before the shuffle.
+    ``attributes`` are descriptive columns of the series to carry along.
+
+    A series that changes its interval is judged by its ``segment_summary``: it expects
+    the sum of what its stretches do and is complete if all of them are. Only such series
+    are looked at a second time. Readings off the grid
+    make up for no gap: a series with an unmarked row is not complete, whatever the
+    counts, and ``missing`` is at least the number of such rows, never negative."""
+    bounds = written(series_bounds(df, series, time, step, mark, attributes), "series")
+    carried = [F.col(f"_attribute{i}").alias(name) for i, name in enumerate(attributes)]
+    several = (F.col("_step") < F.col("_most")) | (F.col("_stepped").between(1, F.col("_rows") - 1))
+    steady = _judged(_expected(bounds.filter(~F.coalesce(several, F.lit(False)))), [*series, *carried])
+    switched = bounds.filter(several)
+    if switched.isEmpty():
+        return steady
+    rows = join_per_key(df, switched.select(*series), series, "left_semi")
+    parts = segment_summary(rows, series, time, step, mark).groupBy(*series).agg(
+        F.when(F.count("expected") == F.count(F.lit(1)), F.sum("expected")).alias("expected"),
+        F.sum("missing").alias("missing"),
+        F.when(F.count_if(F.col("result") != fv.RESULT_SUCCESS) == 0, fv.RESULT_SUCCESS)
         .otherwise(fv.RESULT_FAILED)
         .alias("result"),
     )
+    judged = join_per_key(switched, parts, series, "inner")
+    return steady.unionByName(
+        judged.select(*series, *carried, "minTime", "maxTime", "expected", "actual", "missing", "result")
+    )
 
 
 def validate_intervals(

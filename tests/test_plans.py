@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.base import event_readings
+from gaugeline import schema as S
 from gaugeline.operators import enrich, intervals as iv
 from gaugeline.operators import keyed, quality, versioning
 from gaugeline.sources import tables
@@ -21,10 +22,15 @@ def formatted(df):
 SF = "/root/testdata/sf0.001"
 
 
-def test_copies_combine_before_the_shuffle(spark):
-    text = plan(quality.drop_duplicates(event_readings(spark, SF)))
-    assert "partial_min" in text and text.count("Exchange") == 1
-    assert "Window" not in text
+@pytest.mark.parametrize(
+    "step", [quality.drop_duplicates, quality.duplicate_report, quality.reject_conflicts, quality.resolve_duplicates]
+)
+def test_copies_are_found_by_hash_aggregates_of_numbers(spark, step):
+    """No sort of rows to group them, no row inside an aggregate, no window."""
+    text = plan(step(event_readings(spark, SF)))
+    assert "SortAggregate" not in text and "Window" not in text
+    aggregates = [line for line in text.splitlines() if "HashAggregate" in line]
+    assert not any("multiplier" in line for line in aggregates)
 
 
 SPLIT_EARLY = {
@@ -149,5 +155,53 @@ def test_versions_read_only_needed_columns(spark, tmp_path):
 
 def test_summary_needs_no_window(spark):
     df = event_readings(spark, SF).withColumn("intervalMark", F.lit("1"))
-    text = plan(iv.series_summary(df))
+    text = plan(iv.series_bounds(df, S.SERIES_KEY, iv.TIME, iv.STEP, "intervalMark", ["owner"]))
     assert "Window" not in text and text.count("Exchange") == 1
+
+
+def _series(spark, rows):
+    """(point, minute, interval) as readings of series."""
+    table = spark.createDataFrame(rows, "servicePointId string, minute long, intervalSize int")
+    start = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+    return table.select(
+        "servicePointId",
+        *[F.lit("x").alias(c) for c in ("deviceId", "meteringType", "variableId")],
+        F.lit(1).alias("logNumber"),
+        F.timestamp_add("MINUTE", F.col("minute"), start).alias("readingUtcLocalTime"),
+        "intervalSize",
+        F.lit(0).alias("identReading"),
+    )
+
+
+def _per_task(df):
+    counts = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    return sorted(r["count"] for r in counts)
+
+
+def test_grid_of_one_huge_and_many_tiny_series_is_even(spark):
+    rows = [("HUGE", 0, 1), ("HUGE", 3_000_000, 1)]
+    rows += [(f"P{n}", m, 15) for n in range(3000) for m in (0, 15 * (n % 40))]
+    tasks = _per_task(iv.expected_grid(_series(spark, rows)))
+    assert sum(tasks) == 3_000_001 + sum(n % 40 + 1 for n in range(3000))
+    assert len(tasks) == 4 and tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    assert tasks[-1] - tasks[0] <= 4
+
+
+def test_one_long_gap_is_filled_by_all_tasks(spark):
+    rows = [("LONG", 0, 1), ("LONG", 10_000_000, 1), ("P", 0, 15), ("P", 60, 15), ("P", 50_000, 15)]
+    filled = iv.fill_gaps(_series(spark, rows))
+    tasks = _per_task(filled.filter("servicePointId = 'LONG' and not isOriginal"))
+    assert sum(tasks) == 9_999_999 and len(tasks) == 4
+    assert tasks[-1] <= 1.5 * tasks[0]
+    other = filled.filter("servicePointId = 'P'")
+    assert other.filter("isOriginal").count() == 3
+    assert other.count() == 1 + 50_000 // 15 + 1
+
+
+@pytest.mark.parametrize("gap", [9_999, 10_000, 10_001, 10_002, 11_520, 20_000, 20_001, 20_002])
+@pytest.mark.parametrize("first", [0, 1439])
+def test_gaps_at_the_edge_of_a_chunk(spark, gap, first):
+    rows = [("P", first, 1), ("P", first + gap, 1), ("P", first + gap + 1, 1)]
+    got = iv.fill_gaps(_series(spark, rows)).select("readingUtcLocalTime", "isOriginal").collect()
+    assert len(got) == gap + 2 and len({r[0] for r in got}) == gap + 2
+    assert sum(r[1] for r in got) == 3

@@ -391,3 +391,41 @@ def test_session_zone_does_not_matter(spark, zone):
         (f"2024-03-10 {at}:00", "20240310")
         for at in ("01:30", "02:00", "02:30", "03:00", "03:30")
     ]
+
+
+def test_segments_against_a_walk_along_each_series(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for point in range(40):
+        minute, size = rng.randrange(3000), rng.choice([15, 60])
+        for _ in range(rng.randrange(1, 60)):
+            rows.append((f"P{point}", minute, size))
+            minute += (size or 7) * rng.choice([1, 1, 1, 2, 40])
+            size = rng.choice([size] * 8 + [15, 30, 60, None])
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    table = spark.createDataFrame(rows, "p string, minute long, intervalSize int").repartition(7)
+    df = table.withColumn("readingUtcLocalTime", F.timestamp_add("MINUTE", F.col("minute"), start))
+    found = {(r["p"], r["minute"]): r["segment"] for r in iv.with_segment(df, ["p"]).collect()}
+    want, last = {}, None
+    for point, minute, size in sorted(rows, key=lambda r: (r[0], r[1])):
+        number = 0 if last is None or last[0] != point else last[2] + (size != last[1])
+        want[point, minute] = number
+        last = (point, size, number)
+    assert found == want and max(want.values()) > 3
+
+
+def test_a_series_that_changes_its_interval_can_be_complete(spark):
+    rows = [("A", m, 60) for m in range(0, 600, 60)] + [("A", m, 15) for m in range(600, 3000, 15)]
+    rows += [("B", m, 60) for m in range(0, 600, 60)] + [("B", m, 15) for m in range(600, 3000, 15) if m != 900]
+    rows += [("C", 0, 15), ("C", 15, None), ("C", 30, 15)]
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    table = spark.createDataFrame(rows, "p string, minute long, intervalSize int")
+    df = table.withColumn("readingUtcLocalTime", F.timestamp_add("MINUTE", F.col("minute"), start))
+    filled = iv.fill_gaps(df, ["p"], order=["minute"])
+    marked = filled.withColumn("intervalMark", F.when(F.col("isOriginal"), "1"))
+    got = {r["p"]: r for r in iv.series_summary(marked, ["p"]).collect()}
+    assert (got["A"]["expected"], got["A"]["actual"], got["A"]["missing"], got["A"]["result"]) == (170, 170, 0, "Successful")
+    assert (got["B"]["expected"], got["B"]["actual"], got["B"]["missing"], got["B"]["result"]) == (170, 169, 1, "Failed")
+    assert got["C"]["expected"] is None and got["C"]["result"] == "Failed"
