@@ -288,12 +288,13 @@ def repeated(texts: DataFrame, source: DataFrame, unpack: bool, level: int = 0)
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = True
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept,
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256,
+    removed_spans (start:end in bytes of the text, end exclusive, comma-joined), and kept,
     the remaining bytes (null without ``with_bytes``)."""
     source = packed(docs, id_col, text_col)
     marks = repeated(_keyed(docs, id_col, text_col), source, True)
     per_doc = marks.groupBy(*KEY).agg(F.collect_set(F.struct("start", "windows")).alias("marks"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed_spans string, kept binary"
 
     def remove(batches):
         expand = zstandard.ZstdDecompressor().decompress
@@ -301,7 +302,7 @@ def remove_repeats(
             rows = []
             for doc, data, places in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 data = expand(data)
-                kept, removed, spans = data, 0, 0
+                kept, removed, spans = data, 0, []
                 if places:
                     change = np.zeros(len(data) + 1, np.int32)
                     begin = np.array([p["start"] for p in places])
@@ -310,10 +311,12 @@ def remove_repeats(
                     gone = np.cumsum(change[:-1]) > 0
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                     removed = int(gone.sum())
-                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                rows.append((doc, len(data), removed, spans, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None))
+                    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
+                    spans = [f"{a}:{b}" for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                digest = hashlib.sha256(kept).hexdigest()
+                rows.append((doc, len(data), removed, len(spans), digest, ",".join(spans), kept if with_bytes else None))
             columns = list(zip(*rows, strict=True))
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")]
             )

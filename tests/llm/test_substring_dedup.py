@@ -36,8 +36,10 @@ def brute(rows):
             if seen[b[p : p + 400]] > 1:
                 gone[p : p + 400] = b"\1" * 400
         kept = bytes(c for c, g in zip(b, gone) if not g)
-        runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
-        out.append((i, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+        begins = [k for k, g in enumerate(gone) if g and not (k and gone[k - 1])]
+        ends = [k + 1 for k, g in enumerate(gone) if g and not (k + 1 < len(gone) and gone[k + 1])]
+        spans = ",".join(f"{a}:{z}" for a, z in zip(begins, ends, strict=True))
+        out.append((i, len(b), sum(gone), len(begins), hashlib.sha256(kept).hexdigest(), spans))
     return sorted(out, key=repr)
 
 
