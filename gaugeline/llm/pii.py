@@ -2,7 +2,7 @@
 
 Regular expressions propose spans, checks on the found text confirm them (Luhn for
 cards, modulo 97 for bank account numbers, number ranges for addresses), and words
-shortly before a span raise its score. The kinds ``email``, ``ip``, ``card`` and
+shortly before a span, whole ones, raise its score. The kinds ``email``, ``ip``, ``card`` and
 ``phone`` stand by their pattern and check alone. ``iban`` and ``ssn`` are added by
 the method: a span counts when its score reaches ``ACCEPT``.
 
@@ -10,8 +10,8 @@ Positions are code points. The matches of a pattern come from ``regexp_extract_a
 and the lengths between them from ``split`` by the same pattern; running totals of
 both give the starts. The patterns never give back what they took (possessive
 quantifiers), so that very long runs need neither stack nor quadratic time; they
-match exactly what the plain forms in the SQL match, but for ``iban``, whose numbers
-end at the length of their country.
+match exactly what the plain forms in the SQL match. An ``iban`` ends at the length of
+its country; neither end of an ``ssn`` may touch a letter, digit, hyphen or underscore.
 
 Defined cases: null text is empty; a text without spans gives zero counts, an empty
 ``spans`` and the digest of empty text; each input row gives one row, repeated ids
@@ -42,8 +42,7 @@ _IBAN_LENGTHS = {
 
 def _iban_pattern() -> str:
     """An account number ends where its country's length does; one of a country without
-    a registered length where the groups end. The plain form in the SQL knows no lengths
-    and loses numbers with short words or numbers behind them."""
+    a registered length where the groups end."""
     known = [
         f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]{{4}}){{{(size - 4) // 4}}}"
         + (f"\\x20?[A-Z0-9]{{{size % 4}}}" if size % 4 else "")
@@ -68,24 +67,24 @@ KINDS = (
     Kind(
         "email",
         r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-        90, "mail|contact|write", 10,
+        90, "e?-?mails?|contact|write", 10,
     ),
     Kind(
         "ip",
         r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-        70, "ip|server|host|address", 25,
+        70, "ips?|servers?|hosts?|address(?:es)?", 25,
     ),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 75, "card|credit|visa|payment", 20),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 70, "phone|tel|call|mobile", 25),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 75, "cards?|credit|visa|payments?", 20),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 70, "(?:tele)?phones?|tel|call|mobile", 25),
     Kind(
         "iban",
         _iban_pattern(),
-        80, "iban|bank|account", 15, base=False,
+        80, "ibans?|bank|accounts?", 15, base=False,
     ),
     Kind(
         "ssn",
-        r"(?:^|[^0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}",
-        45, "ssn|social security", 50, base=False,
+        r"(?<![A-Za-z0-9_-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_-])",
+        45, "ssns?|social security", 50, base=False,
     ),
 )
 
@@ -165,7 +164,7 @@ def _spans(kind: Kind, order: int) -> Column:
         context = F.substring(
             text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS))
         )
-        score = F.when(context.rlike(f"(?i){kind.words}"), kind.score + kind.bonus).otherwise(kind.score)
+        score = F.when(context.rlike(f"(?i)(?<![A-Za-z0-9_])(?:{kind.words})(?![A-Za-z0-9_])"), kind.score + kind.bonus).otherwise(kind.score)
         return F.struct(
             start.alias("start"),
             F.lit(order).alias("order"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gaugeline.llm.pii import _IBAN_LENGTHS
+
 EXACT_DEDUP_SQL = r"""
 WITH marked AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -15,13 +17,29 @@ SELECT doc_id,
 FROM marked
 """
 
+
+def _iban_sql() -> str:
+    """The patterns of the countries with a registered length first; numbers of these with
+    another length match the last one and are refused when confirmed."""
+    known = [
+        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]{{4}}){{{(size - 4) // 4}}}"
+        + (f"\\x20?[A-Z0-9]{{{size % 4}}}" if size % 4 else "")
+        for size, codes in _IBAN_LENGTHS.items()
+    ]
+    other = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+    return f"(?:^|[^A-Za-z0-9])(?:{'|'.join([*known, other])})"
+
+
+_IBAN_LENGTH = " ".join(
+    f"WHEN bare[:2] IN ({', '.join(repr(c) for c in codes.split())}) THEN length(bare) = {size}" for size, codes in _IBAN_LENGTHS.items()
+)
 _PII = (
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 90, "mail|contact|write", 10, 0),
-    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", 70, "ip|server|host|address", 25, 0),
-    ("card", r"[0-9](?:[\x20-]?[0-9])+", 75, "card|credit|visa|payment", 20, 0),
-    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 70, "phone|tel|call|mobile", 25, 0),
-    ("iban", r"(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", 80, "iban|bank|account", 15, 1),
-    ("ssn", r"(?:^|[^0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}", 45, "ssn|social security", 50, 1),
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 90, "e?-?mails?|contact|write", 10, 0),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", 70, "ips?|servers?|hosts?|address(?:es)?", 25, 0),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", 75, "cards?|credit|visa|payments?", 20, 0),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 70, "(?:tele)?phones?|tel|call|mobile", 25, 0),
+    ("iban", _iban_sql(), 80, "ibans?|bank|accounts?", 15, 1),
+    ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", 45, "ssns?|social security", 50, 0),
 )
 
 _CONFIRMED = """CASE kind
@@ -30,7 +48,8 @@ _CONFIRMED = """CASE kind
         range(length(digits)), lambda i: CASE WHEN i % 2 = 0 THEN CAST(digits[length(digits) - i] AS INT)
         ELSE (2 * CAST(digits[length(digits) - i] AS INT)) // 10 + (2 * CAST(digits[length(digits) - i] AS INT)) % 10 END)) % 10 = 0
     WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
-    WHEN 'iban' THEN length(bare) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(
+    WHEN 'ssn' THEN NOT regexp_matches(substr(text, CAST(greatest(pos, 1) AS BIGINT), CAST(least(pos, 1) AS BIGINT)) || ' ' || substr(text, CAST(pos + length(found) + 1 AS BIGINT), 1), '[A-Za-z0-9_-]')
+    WHEN 'iban' THEN length(bare) BETWEEN 15 AND 34 AND (CASE """ + _IBAN_LENGTH + """ ELSE TRUE END) AND list_reduce(list_prepend(0, list_transform(
         string_split(bare[5:] || bare[:4], ''), lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS INT))),
         lambda r, c: (CASE WHEN c < 10 THEN r * 10 ELSE r * 100 END + c) % 97) = 1
     ELSE TRUE END"""
@@ -59,7 +78,7 @@ placed AS (
   FROM checked WHERE {_CONFIRMED}),
 scored AS (
   SELECT doc_id, kind, ord, pos, CAST(till AS BIGINT) AS till,
-         score + CASE WHEN regexp_matches(substr(text, greatest(pos - 40, 0) + 1, least(pos, 40)), '(?i)' || words) THEN bonus ELSE 0 END AS score
+         score + CASE WHEN regexp_matches(substr(text, greatest(pos - 40, 0) + 1, least(pos, 40)), '(?i)\\b(?:' || words || ')\\b') THEN bonus ELSE 0 END AS score
   FROM placed),
 spans AS (
   SELECT doc_id,

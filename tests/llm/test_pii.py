@@ -73,6 +73,40 @@ def test_account_numbers_end_at_the_length_of_their_country(spark):
         assert [dict(rows)[r["doc_id"]][int(a) : int(b)] for _, a, b in found] == want[r["doc_id"]]
 
 
+EDGES = [
+    (1, "ssn X123-45-6789"), (2, "ssn 123-45-67890"), (3, "ssn -123-45-6789"), (4, "ssn 123-45-6789-1"), (5, "ssn: 123-45-6789."),
+    (6, "classname 123-45-6789"), (7, "Social Security 123-45-6789,123-45-6780"), (8, "ssn_ 123-45-6789"), (9, "SSNs (123-45-6789)"),
+    (10, "ssn _123-45-6789"), (11, "ssn \u00e9123-45-6789"),
+]
+
+
+def test_both_ends_of_a_number_and_whole_words(spark):
+    found = {r["doc_id"]: r["spans"] for r in pii.pii_report(frame(spark, EDGES)).collect()}
+    assert [i for i, s in sorted(found.items()) if s] == [5, 7, 9, 11]
+    assert found[5] == "ssn:5:16" and found[7] == "ssn:16:27,ssn:28:39" and found[9] == "ssn:6:17"
+
+
+def test_sql_has_the_same_rules(spark):
+    import duckdb
+
+    from gaugeline.llm.sql import pii_sql
+
+    rows = [r for r in [*EDGES, *HARD[:4]] if len(r[1]) < 3000]
+    rows += [
+        (20, "ES9121000418450200051332 EUR 25"), (21, "bank ES91 2100 0418 4502 0005 1332 25 May"), (22, "AT611904300234573201 BIC BKAUATWW"),
+        (23, "NO9386011117947 12 and ES9121000418450200051332 DE89 3704 0044 0532 0130 00 EUR"), (24, "ES9121000418450200051333 EUR"),
+        (25, "telephone +1 (988) 555-2485, emails a@b.de, subway card 4041894974608795"),
+    ]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cursor = con.execute(pii_sql())
+    names = [d[0] for d in cursor.description]
+    want = sorted(tuple(dict(zip(names, r, strict=True)).items()) for r in cursor.fetchall())
+    got = sorted(tuple((n, r[n]) for n in names) for r in pii.pii_report(frame(spark, rows)).collect())
+    assert got == want
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.pii_report(frame(spark, HARD))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
