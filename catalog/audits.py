@@ -8,6 +8,7 @@ from catalog.base import AS_OF, READINGS, STAMP, event_readings, query, shown, s
 from catalog.cleaning import SETTINGS as WINDOW
 from catalog.intervals import PROFILE, SETTINGS, profile_readings
 from gaugeline.operators import audit, intervals as iv, quality
+from gaugeline.plans.stages import lifecycle
 
 
 _series = "servicePointId, deviceId, meteringType, variableId, logNumber"
@@ -101,3 +102,20 @@ def a03(spark, sf):
         event_readings(spark, sf), "enrich", "processing_ended", STAMP
     )
     return _audit_fields(records, "process", "count_text", "transaction")
+
+
+@query(
+    "a03_lifecycle_audit",
+    f"""WITH {READINGS}, files AS (SELECT guidFile, owner, readingsSource, count(*) AS came,
+  count(*) FILTER (WHERE readingUtcLocalTime IS NOT NULL AND day(readingLocalTime) > 2) AS went FROM readings GROUP BY ALL)
+ SELECT guidFile, owner, readingsSource, 'Enrich' AS stage, status, n AS registerCount, 'ENRICHMENT' AS process,
+  CAST(n AS VARCHAR) AS count_text, guidFile AS transaction
+ FROM (SELECT *, 'processing_started' AS status, came AS n FROM files
+  UNION ALL SELECT *, 'processing_ended', went FROM files)""",
+)
+def a03_lifecycle(spark, sf):
+    """What came in and went out of each file; those of two days lose all their rows."""
+    readings = event_readings(spark, sf)
+    kept = readings.filter(F.col("readingUtcLocalTime").isNotNull() & (F.day("readingLocalTime") > 2))
+    records = lifecycle("enrich", readings, kept, STAMP)
+    return _audit_fields(records, "process", "count_text", "transaction")

@@ -5,7 +5,7 @@ column expressions, ``operators`` the DataFrame steps, and ``plans`` joins the
 steps into the three stages translate, enrich and clean.
 """
 
-from gaugeline.plans.stages import clean, enrich, translate, unparsed
+from gaugeline.plans.stages import clean, enrich, lifecycle, translate, unparsed
 from gaugeline.settings import Settings
 
-__all__ = ["Settings", "clean", "enrich", "translate", "unparsed"]
+__all__ = ["Settings", "clean", "enrich", "lifecycle", "translate", "unparsed"]

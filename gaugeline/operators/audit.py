@@ -135,27 +135,48 @@ def interval_audit(
     )
 
 
+_FILE = ["guidFile", "owner", "readingsSource"]
+
+
 def stage_audit(
     df: DataFrame, stage: str, status: str, stamp: str, settings: Settings = Settings()
 ) -> DataFrame:
     """One record per file with its number of rows at the start or end of a
     stage."""
-    source, process = fv.AUDIT_PROCESS[stage]
-    counted = df.groupBy("guidFile", "owner", "readingsSource").agg(
-        F.count(F.lit(1)).alias("registerCount")
+    counted = df.groupBy(*_FILE).agg(F.count(F.lit(1)).alias("registerCount"))
+    return _stage_records(counted.withColumn("status", F.lit(status)), stage, stamp, settings)
+
+
+def lifecycle_audit(
+    before: DataFrame, after: DataFrame, stage: str, stamp: str, settings: Settings = Settings()
+) -> DataFrame:
+    """Two records per file, of the start and the end of a stage, with the rows that went
+    in and that came out: none, for a file that lost all of its rows. Both tables are read
+    in the columns of the file only and counted in one aggregate."""
+    rows = lambda df, start: df.select(*_FILE, F.lit(start).alias("_in"), F.lit(1 - start).alias("_out"))
+    both = rows(before, 1).unionByName(rows(after, 0)).groupBy(*_FILE)
+    counted = both.agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+    record = lambda status, count: F.struct(F.lit(status).alias("status"), F.col(count).alias("registerCount"))
+    each = counted.select(
+        *_FILE, F.inline(F.array(record(fv.STAGE_STARTED, "_in"), record(fv.STAGE_ENDED, "_out")))
     )
+    return _stage_records(each, stage, stamp, settings)
+
+
+def _stage_records(counted: DataFrame, stage: str, stamp: str, settings: Settings) -> DataFrame:
+    source, process = fv.AUDIT_PROCESS[stage]
     category = {
         "category_name": F.lit(fv.AUDIT_LIFECYCLE),
         "guid_file": F.col("guidFile"),
         "process": F.lit(process),
-        "status": F.lit(status),
+        "status": F.col("status"),
         "register_count": _text(F.col("registerCount")),
         "event_timestamp": F.lit(stamp),
     }
     return counted.select(
-        "guidFile", "owner", "readingsSource",
+        *_FILE,
         F.lit(process).alias("stage"),
-        F.lit(status).alias("status"),
+        "status",
         "registerCount",
         _message(category, source, stamp, settings).alias("message"),
     )

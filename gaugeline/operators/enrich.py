@@ -64,15 +64,15 @@ def number_rows(
         }
     )
     fixed = written(placed, "numbered")
-    # One row per partition of a Spark job: small enough for one window and for
-    # broadcasting whatever the data size.
+    # One row per task that wrote: Spark sees its size when it is there, and broadcasts
+    # it or deals the rows out by task.
     sizes = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        fixed.join(F.broadcast(offsets), "_part")
+        fixed.join(offsets, "_part")
         .withColumn(name, F.col("_offset") + F.col("_pos"))
         .drop("_part", "_pos", "_offset")
     )

@@ -72,17 +72,29 @@ def enrich(
     return en.add_utc(en.require_timezone(joined))
 
 
+def lifecycle(
+    stage: str, before: DataFrame, after: DataFrame, stamp: str, settings: Settings = Settings()
+) -> DataFrame:
+    """The audit records of each file's start and end in ``translate`` (``before`` are its
+    documents with source keys) or ``enrich``. ``clean`` gives its own. Pass the tables as
+    they were written, so that they are read in three columns and not made again."""
+    keyed = before if "readingsSource" in before.columns else before.withColumnRenamed("hes", "readingsSource")
+    return audit.lifecycle_audit(keyed, after, stage, stamp, settings)
+
+
 @dataclass(frozen=True)
 class Cleaned:
-    """Accepted readings in final shape, rejected ones with their reason, and the
-    audit records of rejects and fills and of series."""
+    """Accepted readings in final shape, rejected ones with their reason, and the audit
+    records of rejects and fills, of series, and of each file's start and end."""
 
     accepted: DataFrame
     rejected: DataFrame
     reading_audit: DataFrame
     interval_audit: DataFrame
+    lifecycle_audit: DataFrame
 
 
+_FILE = ["guidFile", "owner", "readingsSource"]
 _STORED = [*S.VERSION_KEY, "readingsValue", "version", *versioning._KEPT]
 _REJECT_COLUMNS = [*S.READING_COLUMNS, "identReading", quality.REASON]
 
@@ -144,4 +156,10 @@ def clean(
         rejected=rejected,
         reading_audit=audit.reading_audit(rejected, filled, settings, stamp),
         interval_audit=audit.interval_audit(summary, stamp, settings),
+        # What is accepted, in the columns of its file, from the steps written above.
+        lifecycle_audit=audit.lifecycle_audit(
+            flagged,
+            used.filter(~(F.col("readingType") == fv.LOAD_PROFILE)).select(*_FILE).unionByName(filled.select(*_FILE)),
+            "clean", stamp, settings,
+        ),
     )

@@ -205,3 +205,17 @@ def test_gaps_at_the_edge_of_a_chunk(spark, gap, first):
     got = iv.fill_gaps(_series(spark, rows)).select("readingUtcLocalTime", "isOriginal").collect()
     assert len(got) == gap + 2 and len({r[0] for r in got}) == gap + 2
     assert sum(r[1] for r in got) == 3
+
+
+def test_row_numbers_force_no_broadcast(spark):
+    df = event_readings(spark, SF).drop("identReading")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = enrich.number_rows(df, ["readingLocalTime"])
+        assert "Broadcast" not in plan(numbered)
+        numbers = sorted(r[0] for r in numbered.select("identReading").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert numbers == list(range(df.count()))
