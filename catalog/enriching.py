@@ -135,7 +135,7 @@ _REQUEST = (
 )
 def e08(spark, sf):
     """The requests, read back from their JSON as one row per list entry."""
-    requests = en.topology_request(event_readings(spark, sf), max_entries=40)
+    requests = en.topology_request(event_readings(spark, sf), chunk=40)
     parsed = requests.select(F.from_json("request", _REQUEST).alias("r"))
 
     def entries(name, label, detail):
@@ -158,6 +158,67 @@ def e08(spark, sf):
     )
 
 
+_ENTRIES_SQL = """files AS (SELECT *, min(identReading) OVER (PARTITION BY guidFile, owner, deviceId) AS lowest FROM readings),
+ lists AS (
+  SELECT DISTINCT guidFile, owner, 0 AS number, [servicePointId] AS fields, servicePointId AS name FROM files
+  UNION ALL SELECT guidFile, owner, 1, [deviceId, brand, model, '', 'ENABLE', 'METER'], deviceId FROM files WHERE identReading = lowest
+  UNION ALL SELECT DISTINCT guidFile, owner, 2, [servicePointId, deviceId, 'MAIN', coalesce(relationStartDate, ''), ''],
+   servicePointId || ' ' || deviceId FROM files
+  UNION ALL SELECT DISTINCT guidFile, owner, 3, [readingType, variableId, servicePointId, 'MAIN', '74',
+   CASE WHEN readingType = 'LOAD PROFILE READING' THEN coalesce(CAST(logNumber AS VARCHAR), '') ELSE '' END,
+   CASE WHEN readingType = 'LOAD PROFILE READING' THEN '1' ELSE '' END,
+   CASE WHEN readingType = 'LOAD PROFILE READING' THEN '60' ELSE '' END], servicePointId || ' ' || variableId FROM files),
+ entries AS (SELECT *, row_number() OVER (PARTITION BY guidFile, owner ORDER BY number, fields) - 1 AS position FROM lists)"""
+
+
+@query(
+    "e08_topology_entries",
+    f"""WITH {READINGS}, {_ENTRIES_SQL} SELECT guidFile, owner, 'HES' AS readingsSource, position,
+ CASE number WHEN 0 THEN 'servicePoint' WHEN 1 THEN 'device' WHEN 2 THEN 'relationDevice' ELSE 'servicePointVariable' END AS list,
+ name FROM entries""",
+)
+def e08_entries(spark, sf):
+    entries = en.topology_entries(event_readings(spark, sf))
+    name = F.coalesce(
+        "servicePoint.servicePointId",
+        "device.deviceId",
+        F.concat_ws(" ", F.nullif("relationDevice.servicePointId", F.lit("")), "relationDevice.deviceId"),
+    )
+    variable = F.concat_ws(" ", "servicePointVariable.servicePointId", "servicePointVariable.variableId")
+    name = F.when(F.col("list") == "servicePointVariable", variable).otherwise(name)
+    return entries.select("guidFile", "owner", "readingsSource", "position", "list", name.alias("name"))
+
+
+@query(
+    "e08_topology_parts",
+    f"""WITH {READINGS}, {_ENTRIES_SQL} SELECT guidFile, owner, 'HES' AS readingsSource, position // 25 AS part,
+ coalesce(string_agg(name, ',' ORDER BY position) FILTER (number = 0), '') AS points,
+ coalesce(string_agg(name, ',' ORDER BY position) FILTER (number = 1), '') AS devices,
+ coalesce(string_agg(name, ',' ORDER BY position) FILTER (number = 2), '') AS relations,
+ coalesce(string_agg(name, ',' ORDER BY position) FILTER (number = 3), '') AS variables
+ FROM entries GROUP BY ALL""",
+)
+def e08_parts(spark, sf):
+    """Which entries each request of 25 holds, read from its JSON."""
+    requests = en.topology_request(event_readings(spark, sf), chunk=25)
+    parsed = requests.withColumn("r", F.from_json("request", _REQUEST))
+
+    def names(listed, *fields):
+        each = F.transform(f"r.{listed}", lambda e: F.concat_ws(" ", *[e.getField(f) for f in fields]))
+        return F.array_join(each, ",")
+
+    return parsed.select(
+        "guidFile",
+        "owner",
+        "readingsSource",
+        "part",
+        names("servicePoint", "servicePointId").alias("points"),
+        names("device", "deviceId").alias("devices"),
+        names("relationDevice", "servicePointId", "deviceId").alias("relations"),
+        names("servicePointVariable", "servicePointId", "variableId").alias("variables"),
+    )
+
+
 def _lines(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey",

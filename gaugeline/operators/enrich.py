@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import fixed_values as fv
 from gaugeline.functions import times
-from gaugeline.operators.keyed import first_per_key, join_per_key
+from gaugeline.operators.keyed import first_per_key, with_position
 from gaugeline.sources.scratch import written
 
 FILE = ["guidFile", "owner", "readingsSource"]
@@ -123,15 +123,12 @@ def service_point_variables(df: DataFrame, scope: Sequence[str] = ()) -> DataFra
     )
 
 
-def topology_request(
-    df: DataFrame,
-    order: Sequence[str] = ("identReading",),
-    max_entries: int = 10_000,
+def topology_entries(
+    df: DataFrame, order: Sequence[str] = ("identReading",)
 ) -> DataFrame:
-    """Requests to the topology service: per file an owner block and the lists of
-    service points, devices, relations and variables as one JSON text. A file
-    with more than about ``max_entries`` entries is spread over several requests
-    (``part``), so no record grows with the file.
+    """What the topology service is asked about, a row per entry: file, ``list``, the entry
+    as a struct in the column of its list, and its ``position`` in the file, list by list
+    and in a list by the entry's fields.
 
     The readings are passed once, reduced to their distinct devices and
     variables; the lists come from that small table."""
@@ -145,30 +142,40 @@ def topology_request(
         "servicePointVariable": service_point_variables(known, FILE),
     }
     entries = None
-    for name, frame in lists.items():
+    for number, (name, frame) in enumerate(lists.items()):
         fields = [c for c in frame.columns if c not in FILE]
         shaped = frame.select(
             *FILE,
-            F.xxhash64(*fields).alias("_spread"),
+            F.lit(number).alias("_list"),
+            F.lit(name).alias("list"),
+            F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]).alias("_fields"),
             F.struct(*fields).alias(name),
         )
-        entries = (
-            shaped
-            if entries is None
-            else entries.unionByName(shaped, allowMissingColumns=True)
-        )
-    sizes = entries.groupBy(*FILE).agg(
-        F.ceil(F.count(F.lit(1)) / max_entries).alias("_parts")
-    )
-    parted = join_per_key(entries, sizes, FILE, "inner").withColumn(
-        "part", F.pmod(F.col("_spread"), F.col("_parts"))
-    )
-    grouped = parted.groupBy(*FILE, "part").agg(
-        *[F.array_sort(F.collect_list(name)).alias(name) for name in lists]
+        entries = shaped if entries is None else entries.unionByName(shaped, allowMissingColumns=True)
+    placed = with_position(written(entries, "entries"), FILE, ["_list", "_fields"])
+    return placed.drop("_list", "_fields")
+
+
+def topology_request(
+    df: DataFrame, order: Sequence[str] = ("identReading",), chunk: int = 10_000
+) -> DataFrame:
+    """``topology_entries`` as requests: per file and ``part`` an owner block and the lists
+    of service points, devices, relations and variables as one JSON text. A part has the
+    ``chunk`` entries from position ``part * chunk`` on, whatever the size of its file, so
+    no record grows with the file."""
+    entries = topology_entries(df, order)
+    names = [c for c in entries.columns if c not in (*FILE, "list", "position")]
+    grouped = entries.groupBy(*FILE, F.floor(F.col("position") / chunk).alias("part")).agg(
+        *[
+            F.array_sort(
+                F.collect_list(F.when(F.col(name).isNotNull(), F.struct("position", F.col(name).alias("entry"))))
+            ).alias(name)
+            for name in names
+        ]
     )
     body = F.struct(
         F.struct(F.col("readingsSource").alias("hes"), "owner", "guidFile").alias("owner"),
-        *lists,
+        *[F.transform(name, lambda e: e["entry"]).alias(name) for name in names],
     )
     return grouped.select(*FILE, "part", F.to_json(body).alias("request"))
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.sources.scratch import written
@@ -29,6 +29,8 @@ from gaugeline.sources.scratch import written
 KEY = "_key"
 HASH = "_hash"
 ROW = "_row"
+# Low bits of a row id: the position inside its partition.
+POSITION_BITS = (1 << 33) - 1
 
 
 def key_of(keys: Sequence[str]) -> Column:
@@ -129,3 +131,32 @@ def first_of_repeated(
     )
     kept = affected.join(chosen.select(ROW, "_copies"), ROW).drop(ROW)
     return kept.withColumnRenamed("_copies", copies) if copies else kept.drop("_copies")
+
+
+def with_position(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "position"
+) -> DataFrame:
+    """Rows with their position, from 0, in their group. A group may hold most rows: ranges
+    of (group, order) are sorted by tasks of their own, and a row's position is that in
+    its range after the rows of its group in the ranges before. ``df`` is read twice; null
+    groups are groups."""
+    by = [*groups, *order]
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns(
+        {
+            "_part": F.spark_partition_id(),
+            "_at": F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS)),
+        }
+    )
+    fixed = written(ranged, "positions")
+    ranges = fixed.groupBy(*groups, "_part").agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    # One row per group and task.
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = ranges.select(
+        *groups,
+        "_part",
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    placed = join_per_key(fixed, shifts, [*groups, "_part"], "inner")
+    return placed.withColumn(name, F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")

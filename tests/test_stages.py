@@ -348,8 +348,8 @@ def test_topology_request_parts_hold_everything(spark):
     from catalog.base import event_readings
 
     readings = event_readings(spark, "/root/testdata/sf0.001")
-    one = en.topology_request(readings, max_entries=10**6)
-    many = en.topology_request(readings, max_entries=10)
+    one = en.topology_request(readings, chunk=10**6)
+    many = en.topology_request(readings, chunk=10)
     assert one.select("part").distinct().count() == 1
     assert many.count() > one.count()
 
@@ -429,3 +429,18 @@ def test_a_series_that_changes_its_interval_can_be_complete(spark):
     assert (got["A"]["expected"], got["A"]["actual"], got["A"]["missing"], got["A"]["result"]) == (170, 170, 0, "Successful")
     assert (got["B"]["expected"], got["B"]["actual"], got["B"]["missing"], got["B"]["result"]) == (170, 169, 1, "Failed")
     assert got["C"]["expected"] is None and got["C"]["result"] == "Failed"
+
+
+def test_positions_in_a_group_that_holds_most_rows(spark):
+    from gaugeline.operators.keyed import with_position
+
+    number = F.col("id")
+    df = spark.range(4000).select(
+        F.when(number % 10 < 8, "hot").when(number % 10 == 8, F.concat(F.lit("g"), number % 7)).alias("g"), (number % 100).alias("o"), "id"
+    ).repartition(5)
+    rows = with_position(df, ["g"], ["o", "id"]).collect()
+    by = {}
+    for r in sorted(rows, key=lambda r: (r["o"], r["id"])):
+        by.setdefault(r["g"], []).append(r["position"])
+    assert all(p == list(range(len(p))) for p in by.values()) and len(by) == 9
+    assert len(by["hot"]) == 3200 and len(by[None]) == 400
