@@ -136,7 +136,7 @@ def reject_conflicts(
 def resolve_duplicates(df: DataFrame, order: str = "identReading") -> DataFrame:
     """Copies and conflicts in one go: one row per distinct reading, with
     ``copies`` and the reject reason of conflicting keys. Readings whose key occurs once,
-    as most do, are neither grouped nor sorted."""
+    as most do, are never grouped."""
     once, affected = split_repeated(df, S.CONFLICT_KEY)
     first = first_of_repeated(affected, S.DUPLICATE_KEY, order, copies="copies")
     marked = _with_conflicts(affected, S.CONFLICT_KEY, first, "readingsValue")
