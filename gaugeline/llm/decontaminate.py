@@ -10,10 +10,12 @@ it are cut, and so on until none of ``MIN_MATCH`` words is left. An item is leak
 when tiles cover the share ``COVERAGE`` of its words; as tiles may lie anywhere and
 in any order, a passage whose parts were moved counts as well.
 
-The items are a query set: they are collected in blocks of about ``BLOCK_CHARS``
-code points, however many there are, and each block is held against all documents
-where they are read. No document is shuffled, so a passage that many documents
-share makes no hot key.
+The items are a query set, dealt evenly into blocks of about ``BLOCK_CHARS`` code
+points. One block at a time is collected, sent to the tasks and held against all
+documents where they are read; its findings are written before the next block is
+collected, so driver and tasks hold one block, however many there are. A benchmark
+of one block, the usual case, is searched without writing anything. No document is
+shuffled, so a passage that many documents share makes no hot key.
 
 Defined cases: null and empty texts, of documents or items, match nothing;
 no tile lies in items of fewer than ``MIN_MATCH`` words. Of those the exact word sequence
@@ -30,18 +32,20 @@ import heapq
 import math
 import re
 from collections import defaultdict
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import id_and_text, slices
+from gaugeline.llm.common import id_and_text, slices, written
 
 MIN_MATCH = 5
 COVERAGE = 0.5
 SHORT = 3
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 4_000_000
 
 _UNSPACED = (
     "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
@@ -161,39 +165,35 @@ def tile(runs: list[tuple[int, int, int]], size: int) -> tuple[int, int]:
     return len(in_item), tiles
 
 
-def blocks(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> list[Items]:
-    """The items in blocks, each of bounded size."""
+def blocks(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> tuple[int, Iterator[Items]]:
+    """How many blocks the items make, and the blocks, each collected when it is asked
+    for. Rows are dealt by their place in the written table: neither a repeated id nor
+    equal texts gather in one block."""
     rows = id_and_text(benchmark, item_col, text_col)
     chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     count = max(1, math.ceil(chars / BLOCK_CHARS))
-    shares = rows.withColumn("_share", F.pmod(F.xxhash64("doc_id"), F.lit(count)))
-    return [
-        Items([tuple(r) for r in shares.filter(F.col("_share") == n).drop("_share").collect()], size)
-        for n in range(count)
-    ]
+    if count > 1:
+        share = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count))
+        rows = written(rows.withColumn("_share", share), "items")
 
+    def each():
+        for n in range(count):
+            part = rows if count == 1 else rows.filter(F.col("_share") == n).drop("_share")
+            yield Items([tuple(r) for r in part.collect()], size)
 
-def contaminated(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    coverage: float = COVERAGE,
-    min_match: int = MIN_MATCH,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-) -> DataFrame:
-    """A row (``FOUND``) for each document and item it leaks; clean documents have none."""
-    parts = blocks(benchmark, min_match, item_col, item_text_col)
+    return count, each()
+
+
+def _found(docs: DataFrame, block: Items, coverage: float) -> DataFrame:
+    """``FOUND`` of ``doc_id, text`` and one block."""
 
     def search(batches):
         for part in slices(batches):
             rows = []
             for doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                for block in parts:
-                    for item, total, matched, tiles in block.leaks(text) + block.short(text):
-                        if matched >= coverage * total:
-                            rows.append((doc, item, total, matched, tiles, matched / total))
+                for item, total, matched, tiles in block.leaks(text) + block.short(text):
+                    if matched >= coverage * total:
+                        rows.append((doc, item, total, matched, tiles, matched / total))
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
@@ -201,27 +201,60 @@ def contaminated(
                     names=[f.split()[0] for f in FOUND.split(", ")],
                 )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(search, FOUND)
+    return docs.mapInArrow(search, FOUND)
 
 
-def drop_contaminated(
+def _clean(docs: DataFrame, block: Items, coverage: float, text_col: str, clean: bool = True) -> DataFrame:
+    """The documents that leak no item of the block, or, if not ``clean``, those that do."""
+
+    def keep(batches):
+        for part in slices(batches):
+            stays = [
+                clean != any(m >= coverage * n for _, n, m, _ in block.leaks(text or "") + block.short(text or ""))
+                for text in part.column(text_col).to_pylist()
+            ]
+            yield part.filter(pa.array(stays, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     coverage: float = COVERAGE,
     min_match: int = MIN_MATCH,
+    id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The documents, all columns, that leak no item."""
-    parts = blocks(benchmark, min_match, item_col, item_text_col)
+    """A row (``FOUND``) for each document and item it leaks; clean documents have none."""
+    rows = id_and_text(docs, id_col, text_col)
+    count, parts = blocks(benchmark, min_match, item_col, item_text_col)
+    if count == 1:
+        return _found(rows, next(parts), coverage)
+    return reduce(DataFrame.union, [written(_found(rows, block, coverage), "leaks") for block in parts])
 
-    def keep(batches):
-        for part in slices(batches):
-            clean = [
-                not any(m >= coverage * n for b in parts for _, n, m, _ in b.leaks(text or "") + b.short(text or ""))
-                for text in part.column(text_col).to_pylist()
-            ]
-            yield part.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    coverage: float = COVERAGE,
+    min_match: int = MIN_MATCH,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The documents, all columns, that leak no item. Where there are several blocks the
+    digests of the leaking texts are written, and their documents taken out at the end."""
+    count, parts = blocks(benchmark, min_match, item_col, item_text_col)
+    if count == 1:
+        return _clean(docs, next(parts), coverage, text_col)
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    digest = F.sha2(F.col("text"), 256).alias("_leaking")
+    leaking = reduce(
+        DataFrame.union,
+        [written(_clean(texts, block, coverage, "text", clean=False).select(digest).distinct(), "leaks") for block in parts],
+    )
+    own = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
+    return docs.join(leaking.distinct(), own == F.col("_leaking"), "left_anti")

@@ -62,10 +62,60 @@ def test_reordered_and_clean_texts(spark):
 
 
 def test_blocks_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(op, "BLOCK_CHARS", 40)
-    items = bench(spark, [(i, f"{ITEM} {i} {OTHER}") for i in range(6)])
-    assert len(op.blocks(items, 5, "item_id", "text")) > 3
-    assert op.contaminated(frame(spark, [(1, ITEM), (2, "nothing at all")]), items).count() == 6
+    items = bench(spark, [(i % 2 or None, f"{ITEM} {i} {OTHER}") for i in range(6)] + [(7, "quite another item of seven words")] * 3 + [(8, "on its own")])
+    docs = frame(
+        spark,
+        [(1, ITEM), (2, "nothing at all"), (2, f"see {OTHER}"), (3, "it is quite another item of seven words"), (4, None), (5, "a\nOn its own.\n"), (3, ITEM)],
+        wide=True,
+    )
+    whole = sorted(map(repr, op.contaminated(docs, items).collect()))
+    kept = sorted(map(repr, op.drop_contaminated(docs, items).collect()))
+    assert len(whole) == 16 and len(kept) == 3
+    monkeypatch.setattr(op, "BLOCK_CHARS", 60)
+    count, parts = op.blocks(items, 5, "item_id", "text")
+    parts = list(parts)
+    assert count == len(parts) > 3 and sum(len(p.items) for p in parts) == 10
+    assert sorted(map(repr, op.contaminated(docs, items).collect())) == whole
+    assert sorted(map(repr, op.drop_contaminated(docs, items).collect())) == kept
+
+
+def brute(docs, items, size, coverage):
+    """Rows of the whole search: every item tiled on every document by trying everything."""
+    rows = []
+    for doc, text in docs:
+        have = op.words(text or "")
+        lines = [op.words(part) for part in [text or "", *(text or "").splitlines()]]
+        for item, passage in items:
+            want = op.words(passage or "")
+            if len(want) >= size:
+                matched, tiles = brute_tiles(want, have, size)
+                if tiles and matched >= coverage * len(want):
+                    rows.append((doc, item, len(want), matched, tiles))
+            elif want:
+                anywhere = len(want) >= op.SHORT and any(have[i : i + len(want)] == want for i in range(len(have)))
+                if anywhere or want in lines:
+                    rows.append((doc, item, len(want), len(want), 1))
+    return sorted(rows)
+
+
+def test_whole_search_by_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    text = lambda most: " ".join(rng.choice(["ab", "cd", "ef", "Gh", "ij,"]) for _ in range(rng.randint(0, most)))
+    items = [(i, text(16)) for i in range(40)] + [(40, None), (41, "")]
+    docs = [(i, rng.choice([" ", "\n"]).join([text(14), rng.choice(items)[1] or "", text(6)])) for i in range(60)] + [(60, None)]
+    want = brute(docs, items, 5, 0.5)
+    assert len(want) > 50
+    for chars in (op.BLOCK_CHARS, 300):
+        monkeypatch.setattr(op, "BLOCK_CHARS", chars)
+        found = op.contaminated(frame(spark, docs), bench(spark, items)).collect()
+        assert sorted(tuple(r)[:5] for r in found) == want
+        kept = op.drop_contaminated(frame(spark, docs), bench(spark, items)).collect()
+        assert {r["doc_id"] for r in kept} == {d for d, _ in docs} - {r[0] for r in want}
+
+
+def test_very_long_text_is_dropped_whole(spark):
+    docs = [(1, "word " * 60_000 + ITEM), (2, "word " * 60_000)]
+    assert [r["doc_id"] for r in op.drop_contaminated(frame(spark, docs), bench(spark, [(1, ITEM)])).collect()] == [2]
 
 
 @pytest.mark.parametrize("docs", [ODD_TEXTS, []], ids=["odd", "empty"])
