@@ -2,24 +2,27 @@
 
 The kinds ``assign``, ``access`` and ``hex`` stand by their pattern. The network adds
 ``learned``: other tokens of 16 or more characters with a letter and a digit, outside
-those spans, that it takes for secrets. It reads the whole token, filled up to
+those spans and not plain (below), that it takes for secrets. It reads the whole token, filled up to
 ``TOKEN`` characters, with ``BEFORE`` characters before and ``AFTER`` behind; one
 convolution over one-hot characters, the maximum over each of the three parts, one output.
 
-It is trained on labelled findings: the pattern findings are secrets; long tokens
-known not to be secrets (``is_plain``: words, numbers, identifiers and paths made of
-them, UUIDs, times) are not. What the patterns leave open, the very tokens to be
-judged, has no label and takes no part. Of an ``assign`` finding the value is the
-token, and the keyword, which no other token has before it, is left out of what
-stands before. The findings come from a bounded sample of documents (``SAMPLE_DOCS``
-with the smallest hash of their id, at most ``FINDINGS`` findings of each label and
-``PER_DOC`` negatives of one document; of a token longer than ``WINDOW`` training, and
-only training, takes so many characters from a place drawn by its hash). A quarter of them is kept back, a logistic
-curve on it calibrates the output, and the threshold is the largest at which ``RECALL``
-of its secrets are found. Every document is then searched whole.
-
-Defined cases: null text is empty; without findings of both labels in the sample
-nothing is added; spans of equal start are in the order of the kinds; each row gives
+It is trained on labelled findings, from a bounded sample of documents (``SAMPLE_DOCS``
+with the smallest hash of their id) and of four groups, each of at most ``FINDINGS``:
+the pattern findings, which are secrets; long tokens known not to be secrets
+(``is_plain``: words, numbers, identifiers and paths made of them, UUIDs, times; at most
+``PER_DOC`` of a document); and, as patterns label one or two kinds only, secrets and
+harmless tokens of many kinds that ``made_findings`` puts between the words of these
+documents. What the patterns leave open, the very tokens to be judged, has no label and
+takes no part. Of an ``assign`` finding the value is the token, and the keyword, which no
+other token has before it, is left out of what stands before. Of a token longer than
+``WINDOW`` training, and only training, takes so many characters from a place drawn by
+its hash. A quarter of the findings is kept back, a logistic curve on it calibrates the
+output, and the threshold is the largest at which ``RECALL`` of its secrets are found,
+but never above even odds: kinds that no finding stands for score lower than those that
+were trained. Every document is then searched whole.
+
+Defined cases: null text is empty; without findings of both labels, as in an empty
+table, nothing is added; spans of equal start are in the order of the kinds; each row gives
 one row; an empty table gives an empty result. Other columns are ignored.
 """
 
@@ -27,12 +30,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeline.llm import made_findings
 from gaugeline.llm.common import bounded_sample, id_and_text, slices
 
 SAMPLE_DOCS = 8_000
@@ -40,10 +45,10 @@ FINDINGS = 3_000
 PER_DOC = 4
 RECALL = 0.98
 BEFORE, TOKEN, AFTER = 24, 48, 16
-WIDTH, FILTERS = 5, 24
+WIDTH, FILTERS = 5, 32
 #: Characters of a finding that training reads at most, and places convolved at once.
 WINDOW, CHUNK = 512, 1 << 16
-STEPS, BATCH, RATE = 400, 128, 0.01
+STEPS, BATCH, RATE = 500, 128, 0.01
 
 KINDS = ("assign", "access", "hex", "learned")
 _ASSIGN = re.compile(
@@ -83,10 +88,15 @@ def other_tokens(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     return [t for t in found if not any(s < t[1] and t[0] < e for s, e in taken)]
 
 
-def is_candidate(token: str) -> bool:
+def has_both(token: str) -> bool:
     return bool(_DIGIT.search(token) and _LETTER.search(token))
 
 
+def is_candidate(token: str) -> bool:
+    """Whether the network has to judge a long token."""
+    return has_both(token) and not is_plain(token)
+
+
 def is_plain(token: str) -> bool:
     """Whether a long token is known to be no secret: all its parts are plain."""
     return bool(_UUID.fullmatch(token)) or all(_PLAIN.fullmatch(p) for p in _BETWEEN.split(token) if p)
@@ -220,7 +230,7 @@ def train_network(x: list[np.ndarray], y: np.ndarray, seed: int = 0) -> Network:
 
 def calibrated(outputs: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Slope and shift of the logistic curve, and the threshold on its values: the
-    largest that finds ``RECALL`` of the secrets, however low."""
+    largest that finds ``RECALL`` of the secrets, however low, and at most even odds."""
     a, b = 1.0, 0.0
     for _ in range(100):
         p = _sigmoid(a * outputs + b)
@@ -231,7 +241,7 @@ def calibrated(outputs: np.ndarray, y: np.ndarray) -> tuple[float, float, float]
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)
     chances = np.sort(_sigmoid(a * outputs + b)[y == 1])[::-1]
     need = int(np.ceil(RECALL * len(chances)))
-    return float(a), float(b), float(chances[need - 1])
+    return float(a), float(b), min(0.5, float(chances[need - 1]))
 
 
 def fit(findings: list[tuple[int, bytes]]) -> dict | None:
@@ -257,9 +267,25 @@ def chances(model: dict, codes: list[bytes]) -> np.ndarray:
     return _sigmoid(model["slope"] * np.concatenate(out) + model["shift"])
 
 
-def labelled_findings(docs: DataFrame, kinds: tuple[int, ...] = (0, 1, 2)) -> list[tuple[int, bytes]]:
+def made_codes(text: str, kinds: tuple[str, ...] = made_findings.KINDS) -> list[tuple[int, str, bytes]]:
+    """(label, kind, encoded) of the findings made for a text, each cut and encoded as
+    the search cuts and encodes a candidate."""
+    found = []
+    seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    for label, kind, around, start, end in made_findings.made(text, seed, kinds):
+        for s, e in other_tokens(around, base_spans(around)):
+            if s < end and start < e and has_both(around[s:e]):
+                found.append((label, kind, windowed(encoded(around, s, e))))
+                break
+    return found
+
+
+def labelled_findings(
+    docs: DataFrame, kinds: tuple[int, ...] = (0, 1, 2), made: tuple[str, ...] = made_findings.KINDS
+) -> list[tuple[int, bytes]]:
     """Of ``doc_id, text``: the findings of the bounded sample, encoded where they are;
-    as secrets only those of ``kinds``, so that others can be held out."""
+    as secrets only those of ``kinds``, of made ones those of ``made``, so that others
+    can be held out."""
     ids = [r[0] for r in bounded_sample(docs.select("doc_id"), SAMPLE_DOCS)]
 
     def find(batches):
@@ -269,23 +295,25 @@ def labelled_findings(docs: DataFrame, kinds: tuple[int, ...] = (0, 1, 2)) -> li
                 base = base_spans(text)
                 rows += [(1, windowed(code), doc) for code, span in zip(base_codes(text, base), base, strict=True) if span[1] in kinds]
                 rest = [t for t in other_tokens(text, base) if is_plain(text[t[0] : t[1]])]
-                rest.sort(key=lambda t: (not is_candidate(text[t[0] : t[1]]), t))
+                rest.sort(key=lambda t: (not has_both(text[t[0] : t[1]]), t))
                 rows += [(0, windowed(encoded(text, s, e)), doc) for s, e in rest[:PER_DOC]]
+                rows += [(2 + label, code, doc) for label, _, code in made_codes(text, made)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["label", "code", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["group", "code", "doc"])
 
-    found = docs.filter(F.col("doc_id").isin(ids)).mapInArrow(find, "label long, code binary, doc long")
-    of = lambda label: (
-        found.filter(F.col("label") == label).orderBy(F.xxhash64("doc"), "doc", "code").limit(FINDINGS).select("label", "code").collect()
-    )
-    return [(r[0], bytes(r[1])) for label in (0, 1) for r in of(label)]
+    found = docs.filter(F.col("doc_id").isin(ids)).mapInArrow(find, "group long, code binary, doc long")
+    place = F.row_number().over(Window.partitionBy("group").orderBy(F.xxhash64("doc"), "doc", "code"))
+    few = found.withColumn("place", place).filter(F.col("place") <= FINDINGS).orderBy("group", "place")
+    return [(r[0] % 2, bytes(r[1])) for r in few.select("group", "code").collect()]
 
 
-def recall_held_out(docs: DataFrame, out: tuple[int, ...] = (1, 2)) -> tuple[int, int] | None:
-    """Of ``doc_id, text``: how many findings of the kinds ``out`` a network finds that
-    was trained without them, and how many there are. None where it can't be trained."""
-    model = fit(labelled_findings(docs, tuple(k for k in range(3) if k not in out)))
-    held = [code for label, code in labelled_findings(docs, out) if label == 1]
+def recall_held_out(docs: DataFrame, out: tuple[int, ...] = (1, 2), made: tuple[str, ...] = ()) -> tuple[int, int] | None:
+    """Of ``doc_id, text``: how many findings of the kinds ``out`` and ``made`` a network
+    finds that was trained without them, and how many there are. None where it can't be
+    trained."""
+    others = tuple(k for k in made_findings.KINDS if k not in made)
+    model = fit(labelled_findings(docs, tuple(k for k in range(3) if k not in out), others))
+    held = [code for label, code in labelled_findings(docs, out, tuple(k for k in made if k in made_findings.SECRETS)) if label == 1]
     return model and (int((chances(model, held) >= model["threshold"]).sum()), len(held))
 
 
