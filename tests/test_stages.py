@@ -444,3 +444,14 @@ def test_positions_in_a_group_that_holds_most_rows(spark):
         by.setdefault(r["g"], []).append(r["position"])
     assert all(p == list(range(len(p))) for p in by.values()) and len(by) == 9
     assert len(by["hot"]) == 3200 and len(by[None]) == 400
+
+
+def test_documents_of_the_round_trip_are_packed(spark):
+    from pathlib import Path
+
+    from catalog.documents import _xml_folder
+
+    root = _xml_folder(spark, "/root/testdata/sf0.001", ["MaxDemandData"])
+    files = [f for f in Path(root).rglob("part-*")]
+    text = sum(len(row.value) for row in spark.read.text([str(f) for f in files]).collect())
+    assert files and 8 * sum(f.stat().st_size for f in files) < text
