@@ -455,3 +455,28 @@ def test_documents_of_the_round_trip_are_packed(spark):
     files = [f for f in Path(root).rglob("part-*")]
     text = sum(len(row.value) for row in spark.read.text([str(f) for f in files]).collect())
     assert files and 8 * sum(f.stat().st_size for f in files) < text
+
+
+def test_unit_that_is_no_number_is_not_cast(spark):
+    rows = [("acre",), ("",), (None,), ("7",), (" +8 ",), ("-9",), ("1e3",), (".5",), ("5x",), ("\t6",)]
+    df = spark.createDataFrame(rows, "u string")
+    found = df.select(norm.whole_number(F.col("u")).alias("a"), F.col("u").try_cast("int").alias("b")).collect()
+    assert [r.a for r in found] == [r.b for r in found]
+    assert "RLIKE" in df.select(norm.uom_code(F.col("u")))._jdf.queryExecution().analyzed().toString()
+
+
+def test_no_value_needs_no_factors(spark):
+    df = spark.createDataFrame([(None, "'MultiplierValues':{'ke':'1','pt':'2'}")], "v string, m string")
+    usage = df.select(norm.usage_value(F.col("v"), F.col("m")).alias("u"))
+    plan = usage._jdf.queryExecution().analyzed().toString()
+    assert "isnull" in plan[: plan.index("from_json")] and usage.first().u is None
+
+
+def test_one_kind_needs_no_lambda(spark):
+    from catalog.documents import _keyed, meter_documents
+    from gaugeline.operators.flatten import KINDS, flatten_readings
+
+    for name, kind in KINDS.items():
+        docs = _keyed(meter_documents(spark, "/root/testdata/sf0.001", [kind.path[0]]))
+        plan = flatten_readings(docs, [name])._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan
