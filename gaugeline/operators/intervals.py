@@ -3,7 +3,7 @@
 A series may be as large as a third of all readings, so no step gathers one
 series in one task. Gap filling needs each reading's successor: the window runs
 over (series, day), and the first reading of the next day comes from a
-per-day minimum. With at most one reading per series and instant, which
+per-day minimum, joined in the order the window left. With at most one reading per series and instant, which
 ``resolve_duplicates`` guarantees, a day holds no more rows than it has
 seconds. Completeness needs only sums, joined back to the rows.
 
@@ -145,30 +145,33 @@ def expected_grid(
     )
 
 
-def _slices(df: DataFrame, series: Sequence[str], time: str) -> tuple[DataFrame, DataFrame]:
+def _slices(
+    df: DataFrame, series: Sequence[str], time: str, *extra: Column
+) -> tuple[DataFrame, DataFrame]:
     """Rows with ``_slice``, their series and day, and per slice the first time in the
-    series' next slice, ``_following``, where there is one."""
+    series' next slice, ``_following``, where there is one, with the ``extra`` aggregates
+    of the slice."""
     day = F.col(time).cast("date").alias("_start")
     sliced = df.withColumn("_slice", F.struct(*series, day))
-    firsts = sliced.groupBy("_slice").agg(F.min(time).alias("_first"))
+    firsts = sliced.groupBy("_slice").agg(F.min(time).alias("_first"), *extra)
     # One row per series and day: the calendar bounds how many a series has.
     calendar = Window.partitionBy(*[F.col("_slice").getField(s) for s in series])
-    following = firsts.select(
-        "_slice",
-        F.lead("_first").over(calendar.orderBy("_slice._start")).alias("_following"),
-    ).filter(F.col("_following").isNotNull())
-    return sliced, following
+    following = firsts.withColumn(
+        "_following", F.lead("_first").over(calendar.orderBy("_slice._start"))
+    )
+    return sliced, following.filter(F.col("_following").isNotNull()).drop("_first")
 
 
 def _followed(
     sliced: DataFrame, following: DataFrame, time: str, order: Sequence[str], name: str
 ) -> DataFrame:
-    # Join and window share the one shuffle of the rows by series and slice.
+    # Window and join share the one shuffle and the one sort of the rows by slice.
     in_slice = Window.partitionBy("_slice").orderBy(time, *order)
     return (
-        sliced.join(following, "_slice", "left")
-        .withColumn(name, F.coalesce(F.lead(time).over(in_slice), F.col("_following")))
-        .drop("_slice", "_following")
+        sliced.withColumn("_next", F.lead(time).over(in_slice))
+        .join(following.select("_slice", "_following"), "_slice", "left")
+        .withColumn(name, F.coalesce("_next", "_following"))
+        .drop("_slice", "_next", "_following")
     )
 
 
@@ -184,17 +187,32 @@ def with_next_time(
 
 
 def _before_long_gaps(
-    sliced: DataFrame, following: DataFrame, time: str, order: Sequence[str]
+    sliced: DataFrame, far: DataFrame, time: str, order: Sequence[str]
 ) -> DataFrame:
-    """The last readings, with ``nextTime``, of the days after which a series has none for
-    so long that the gap may need more steps than an array should hold. Steps are whole
-    minutes, so a gap that needs them spans days, and is known from the days alone."""
-    days = F.date_diff(F.col("_following").cast("date"), F.col("_slice._start"))
-    far = following.filter(days >= _CHUNK // 1440)
+    """The last readings, with ``nextTime``, of the days in ``far``."""
     backwards = Window.partitionBy("_slice").orderBy(*[F.col(c).desc() for c in (time, *order)])
-    rows = sliced.join(far, "_slice").withColumn("_place", F.row_number().over(backwards))
-    last = rows.filter("_place = 1").drop("_place", "_slice")
-    return last.withColumnRenamed("_following", "nextTime")
+    following = far.select("_slice", F.col("_following").alias("nextTime"))
+    rows = sliced.join(following, "_slice").withColumn("_place", F.row_number().over(backwards))
+    return rows.filter("_place = 1").drop("_place", "_slice")
+
+
+def _steps(time: str, stride: Column) -> Column:
+    """Steps from a reading on strictly before ``nextTime``, its own included."""
+    distance = times.seconds_between(F.col(time), F.col("nextTime"))
+    return F.coalesce(F.when(distance > 0, F.ceil(distance / (stride * 60))), F.lit(1))
+
+
+def fill_counts(
+    df: DataFrame,
+    series: Sequence[str] = S.SERIES_KEY,
+    time: str = TIME,
+    step: str = STEP,
+    order: Sequence[str] = ("identReading",),
+    name: str = "rows",
+) -> DataFrame:
+    """How many rows ``fill_gaps`` makes of each reading, itself included; none is made."""
+    timed = with_next_time(df, series, time, order, "nextTime")
+    return timed.withColumn(name, _steps(time, _valid_step(F.col(step))).cast("long")).drop("nextTime")
 
 
 def fill_gaps(
@@ -209,27 +227,30 @@ def fill_gaps(
     reading without a positive interval gets no gap rows.
 
     A gap of more than ``_CHUNK`` steps becomes chunks, which go to all tasks in turn
-    before they are expanded; other gaps grow where their reading is."""
-    sliced, following = _slices(df, series, time)
+    before they are expanded; other gaps grow where their reading is. Steps are whole
+    minutes, so a gap that needs so many spans days, and the days and their least step
+    alone tell whether there may be one: if not, the rows are passed once."""
     stride = _valid_step(F.col(step))
-    distance = times.seconds_between(F.col(time), F.col("nextTime"))
-    # Steps strictly before the next reading.
-    count = F.coalesce(
-        F.when(distance > 0, F.ceil(distance / (stride * 60))), F.lit(1)
-    )
+    sliced, following = _slices(df, series, time, F.min(stride).alias("_least"))
+    following = written(following, "following")
+    count = _steps(time, stride)
     near = _followed(sliced, following, time, order, "nextTime").withColumn("_count", count)
     short = F.when(F.col("_count") <= _CHUNK, F.col("_count")).otherwise(1)
-    near = near.withColumn("_n", F.explode(_range(0, short - 1)))
-
-    far = _before_long_gaps(sliced, following, time, order).withColumn("_count", count)
-    far = far.filter(F.col("_count") > _CHUNK)
-    chunks = far.withColumn("_chunk", F.explode(_range(1, F.col("_count") - 1, _CHUNK)))
-    turn = F.xxhash64(*series, time) % 1_000_003 + F.floor(F.col("_chunk") / _CHUNK)
-    dealt = chunks.repartitionById(_tasks(df), F.pmod(turn, F.lit(_tasks(df))).cast("int"))
-    expanded = _expanded(dealt, F.col("_count") - 1, "_n")
+    rows = near.withColumn("_n", F.explode(_range(0, short - 1))).select(*df.columns, "_n")
+
+    longest = times.seconds_between(F.col("_slice._start").cast("timestamp_ntz"), F.col("_following"))
+    far_days = following.filter(longest > F.col("_least") * (60 * _CHUNK))
+    if not far_days.isEmpty():
+        far = _before_long_gaps(sliced, far_days, time, order).withColumn("_count", count)
+        far = far.filter(F.col("_count") > _CHUNK)
+        chunks = far.withColumn("_chunk", F.explode(_range(1, F.col("_count") - 1, _CHUNK)))
+        turn = F.xxhash64(*series, time) % 1_000_003 + F.floor(F.col("_chunk") / _CHUNK)
+        dealt = chunks.repartitionById(_tasks(df), F.pmod(turn, F.lit(_tasks(df))).cast("int"))
+        expanded = _expanded(dealt, F.col("_count") - 1, "_n")
+        rows = rows.unionByName(expanded.select(*df.columns, "_n"))
 
     others = [name for name in df.columns if name != time]
-    return near.select(*df.columns, "_n").unionByName(expanded.select(*df.columns, "_n")).select(
+    return rows.select(
         *others,
         F.when(F.col("_n") == 0, F.col(time))
         .otherwise(_minutes_after(F.col(time), F.col("_n") * F.coalesce(stride, F.lit(0))))
@@ -290,6 +311,39 @@ def complete_fill(filled: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _stretched(df: DataFrame, series: Sequence[str], time: str, step: str) -> DataFrame:
+    """Rows with ``_slice``, their series and day, and ``_stretch``, how many times the
+    interval changed in the day before them."""
+    sliced = df.withColumn("_slice", F.struct(*series, F.col(time).cast("date").alias("_day")))
+    in_slice = Window.partitionBy("_slice").orderBy(time, step)
+    changed = (F.row_number().over(in_slice) > 1) & ~F.col(step).eqNullSafe(F.lag(step).over(in_slice))
+    so_far = F.sum("_change").over(in_slice.rowsBetween(Window.unboundedPreceding, 0))
+    return sliced.withColumn("_change", changed.cast("int")).withColumn("_stretch", so_far).drop("_change")
+
+
+def _earlier_changes(stretches: DataFrame, series: Sequence[str], step: str) -> DataFrame:
+    """Per slice that is not its series' first: the changes before it, ``_offset``, if any.
+    ``stretches`` has a row (or several alike) per slice and ``_stretch``."""
+    days = stretches.groupBy("_slice").agg(
+        F.min_by(step, "_stretch").alias("_opening"),
+        F.max_by(step, "_stretch").alias("_closing"),
+        F.max("_stretch").alias("_changes"),
+    )
+    # One row per series and day: the calendar bounds how many a series has.
+    calendar = Window.partitionBy(*[F.col("_slice").getField(s) for s in series]).orderBy("_slice._day")
+    first = F.row_number().over(calendar) == 1
+    switched = F.when(first, 0).otherwise((~F.col("_opening").eqNullSafe(F.lag("_closing").over(calendar))).cast("int"))
+    earlier = calendar.rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum(F.col("_changes") + F.col("_switched")).over(earlier), F.lit(0)) + F.col("_switched")
+    offsets = days.withColumn("_switched", switched).select("_slice", offset.alias("_offset"))
+    return offsets.filter("_offset > 0")
+
+
+def _numbered(stretches: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
+    number = F.col("_stretch") + F.coalesce("_offset", F.lit(0))
+    return stretches.join(offsets, "_slice", "left").withColumn(name, number.cast("long"))
+
+
 def with_segment(
     df: DataFrame,
     series: Sequence[str] = S.SERIES_KEY,
@@ -302,36 +356,10 @@ def with_segment(
     An interval counts as changed where it differs from that of the row before. Rows look
     back inside their (series, day) only; each day's first and last interval and number of
     changes, one row per day, tell how many changes are before it."""
-    day = F.struct(*series, F.col(time).cast("date").alias("_day"))
-    sliced = df.withColumn("_slice", day)
-    in_slice = Window.partitionBy("_slice").orderBy(time, step)
-    before = F.lag(step).over(in_slice)
-    opens = F.row_number().over(in_slice) == 1
-    changed = sliced.withColumn(
-        "_change", F.when(opens, 0).otherwise((~F.col(step).eqNullSafe(before)).cast("int"))
-    )
-    order = F.struct(time, step)
-    days = changed.groupBy("_slice").agg(
-        F.min_by(step, order).alias("_opening"),
-        F.max_by(step, order).alias("_closing"),
-        F.sum("_change").alias("_changes"),
-    )
-    calendar = Window.partitionBy(*[F.col("_slice").getField(s) for s in series]).orderBy("_slice._day")
-    first = F.row_number().over(calendar) == 1
-    switched = F.when(first, 0).otherwise((~F.col("_opening").eqNullSafe(F.lag("_closing").over(calendar))).cast("int"))
-    stepped = days.withColumn("_switched", switched)
-    earlier = calendar.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stepped.select(
-        "_slice",
-        (F.coalesce(F.sum(F.col("_changes") + F.col("_switched")).over(earlier), F.lit(0)) + F.col("_switched")).alias("_offset"),
-    )
-    so_far = F.sum("_change").over(in_slice.rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        changed.withColumn(name, so_far)
-        .join(offsets, "_slice")
-        .withColumn(name, (F.col(name) + F.col("_offset")).cast("long"))
-        .drop("_slice", "_change", "_offset")
-    )
+    rows = _stretched(df, series, time, step)
+    stretches = rows.groupBy("_slice", "_stretch").agg(F.min(step).alias(step))
+    numbered = _numbered(rows, _earlier_changes(stretches, series, step), name)
+    return numbered.drop("_slice", "_stretch", "_offset")
 
 
 def _bounds(time: str, mark: str) -> list[Column]:
@@ -343,6 +371,12 @@ def _bounds(time: str, mark: str) -> list[Column]:
     ]
 
 
+def _merged() -> list[Column]:
+    """``_bounds`` of parts put together."""
+    together = {"minTime": F.min, "maxTime": F.max, "actual": F.sum, "_unmarked": F.sum}
+    return [merge(name).alias(name) for name, merge in together.items()]
+
+
 def _expected(bounds: DataFrame) -> DataFrame:
     span = times.minutes_between(F.col("minTime"), F.col("maxTime"))
     expected = (F.floor(span / _valid_step(F.col("_step"))) + 1).cast("long")
@@ -359,9 +393,15 @@ def segment_summary(
     """Per stretch of a series with one interval: its number ``segment``, its interval,
     first and last time, expected, actual and missing readings, and the result, as
     ``series_summary`` has them per series. Gap rows have the interval of the reading
-    before them, so the time up to the first reading of the next stretch is theirs."""
-    segments = with_segment(df, series, time, step).groupBy(*series, "segment")
-    bounds = segments.agg(F.min(step).alias("_step"), *_bounds(time, mark))
+    before them, so the time up to the first reading of the next stretch is theirs.
+
+    The rows are passed once, down to one row per day and stretch; those are written,
+    numbered over the days and put together."""
+    rows = _stretched(df, series, time, step).groupBy("_slice", "_stretch")
+    parts = written(rows.agg(F.min(step).alias("_step"), *_bounds(time, mark)), "stretches")
+    numbered = _numbered(parts, _earlier_changes(parts, series, "_step"), "segment")
+    of_series = [F.col("_slice").getField(s).alias(s) for s in series]
+    bounds = numbered.groupBy(*of_series, "segment").agg(F.min("_step").alias("_step"), *_merged())
     return _judged(_expected(bounds), [*series, "segment", F.col("_step").alias(step)])
 
 
@@ -381,9 +421,12 @@ def _judged(bounds: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
 def series_bounds(
     df: DataFrame, series: Sequence[str], time: str, step: str, mark: str, attributes: Sequence[str]
 ) -> DataFrame:
-    """What ``series_summary`` judges a series by, and whether it changes its interval."""
-    return df.groupBy(*series).agg(
-        *[F.min(name).alias(f"_attribute{i}") for i, name in enumerate(attributes)],
+    """What ``series_summary`` judges a series by, and whether it changes its interval, a
+    row per series and values of its attributes: with texts as keys, all aggregates are of
+    numbers, so that the rows are hashed and never sorted or held. ``merged_bounds`` makes
+    one row per series of it."""
+    named = [F.col(name).alias(f"_attribute{i}") for i, name in enumerate(attributes)]
+    return df.groupBy(*series, *named).agg(
         F.min(step).alias("_step"),
         F.max(step).alias("_most"),
         F.count(step).alias("_stepped"),
@@ -392,6 +435,18 @@ def series_bounds(
     )
 
 
+def merged_bounds(bounds: DataFrame, series: Sequence[str], attributes: Sequence[str]) -> DataFrame:
+    """``series_bounds`` of each series, with the least value of every attribute."""
+    return bounds.groupBy(*series).agg(
+        *[F.min(f"_attribute{i}").alias(f"_attribute{i}") for i in range(len(attributes))],
+        F.min("_step").alias("_step"),
+        F.max("_most").alias("_most"),
+        F.sum("_stepped").alias("_stepped"),
+        F.sum("_rows").alias("_rows"),
+        *_merged(),
+    )
+
+
 def series_summary(
     df: DataFrame,
     series: Sequence[str] = S.SERIES_KEY,
@@ -401,7 +456,8 @@ def series_summary(
     attributes: Sequence[str] = (),
 ) -> DataFrame:
     """Per series: first and last time, expected, actual and missing readings and
-    the result. Sums and extremes only, combined before the shuffle.
+    the result. Sums and extremes only, combined before the shuffle, and with
+    ``attributes`` once more over the few rows of their values.
     ``attributes`` are descriptive columns of the series to carry along.
 
     A series that changes its interval is judged by its ``segment_summary``: it expects
@@ -409,7 +465,10 @@ def series_summary(
     are looked at a second time. Readings off the grid
     make up for no gap: a series with an unmarked row is not complete, whatever the
     counts, and ``missing`` is at least the number of such rows, never negative."""
-    bounds = written(series_bounds(df, series, time, step, mark, attributes), "series")
+    bounds = series_bounds(df, series, time, step, mark, attributes)
+    if attributes:
+        bounds = merged_bounds(bounds, series, attributes)
+    bounds = written(bounds, "series")
     carried = [F.col(f"_attribute{i}").alias(name) for i, name in enumerate(attributes)]
     several = (F.col("_step") < F.col("_most")) | (F.col("_stepped").between(1, F.col("_rows") - 1))
     steady = _judged(_expected(bounds.filter(~F.coalesce(several, F.lit(False)))), [*series, *carried])

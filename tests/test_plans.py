@@ -219,3 +219,33 @@ def test_row_numbers_force_no_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert numbers == list(range(df.count()))
+
+
+def test_summary_with_attributes_hashes_numbers(spark):
+    """Texts to carry along are keys of a hash aggregate: filled rows are not sorted."""
+    df = event_readings(spark, SF).withColumn("intervalMark", F.lit("1"))
+    text = plan(iv.series_bounds(df, S.SERIES_KEY, iv.TIME, iv.STEP, "intervalMark", ["owner", "guidFile"]))
+    assert "HashAggregate" in text and "Sort" not in text
+
+
+def test_attributes_are_the_least_of_their_series(spark):
+    rows = [("P", 0, 15), ("P", 15, 15), ("Q", 0, 15)]
+    df = _series(spark, rows).withColumns(
+        {"intervalMark": F.lit("1"), "guidFile": F.concat(F.lit("f"), F.minute("readingUtcLocalTime"))}
+    )
+    got = iv.series_summary(df, attributes=["guidFile"]).collect()
+    assert {(r["servicePointId"], r["guidFile"], r["actual"], r["result"]) for r in got} == {
+        ("P", "f0", 2, "Successful"), ("Q", "f0", 1, "Successful")
+    }
+
+
+def test_gaps_that_are_not_long_pass_the_rows_once(spark):
+    rows = [("P", 0, 15), ("P", 60, 15), ("P", 50_000, 15)]
+    text = plan(iv.fill_gaps(_series(spark, rows)))
+    assert "Union" not in text and text.count("Sort [_slice") == 1
+
+
+def test_segments_pass_the_rows_once(spark):
+    """What numbers the stretches is one row per day and stretch, written before."""
+    text = plan(iv.segment_summary(_series(spark, [("P", 0, 15), ("P", 1440, 60)]).withColumn("intervalMark", F.lit("1"))))
+    assert "LocalTableScan" not in text and "ExistingRDD" not in text and "stretches-" in text
