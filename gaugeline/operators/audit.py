@@ -148,13 +148,17 @@ def stage_audit(
 
 
 def lifecycle_audit(
-    before: DataFrame, after: DataFrame, stage: str, stamp: str, settings: Settings = Settings()
+    before: DataFrame, after: DataFrame, stage: str, stamp: str, settings: Settings = Settings(),
+    rows: str | None = None,
 ) -> DataFrame:
     """Two records per file, of the start and the end of a stage, with the rows that went
     in and that came out: none, for a file that lost all of its rows. Both tables are read
-    in the columns of the file only and counted in one aggregate."""
-    rows = lambda df, start: df.select(*_FILE, F.lit(start).alias("_in"), F.lit(1 - start).alias("_out"))
-    both = rows(before, 1).unionByName(rows(after, 0)).groupBy(*_FILE)
+    in the columns of the file only and counted in one aggregate. ``rows`` names a column
+    of ``after`` that says how many rows each of its rows stands for."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    came = before.select(*_FILE, one.alias("_in"), none.alias("_out"))
+    went = after.select(*_FILE, none.alias("_in"), (F.col(rows) if rows else one).alias("_out"))
+    both = came.unionByName(went).groupBy(*_FILE)
     counted = both.agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
     record = lambda status, count: F.struct(F.lit(status).alias("status"), F.col(count).alias("registerCount"))
     each = counted.select(

@@ -1,7 +1,8 @@
 """The three stages as whole plans.
 
 Each stage is lazy up to the tables it writes into the shared folder: numbered
-readings (enrich), and flagged, decided and filled readings (clean). Those are
+readings (enrich), flagged and decided readings (clean), and filled ones when they are
+asked for. Those are
 the points where several later passes read the same rows.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,23 +83,82 @@ def lifecycle(
     return audit.lifecycle_audit(keyed, after, stage, stamp, settings)
 
 
-@dataclass(frozen=True)
-class Cleaned:
-    """Accepted readings in final shape, rejected ones with their reason, and the audit
-    records of rejects and fills, of series, and of each file's start and end."""
-
-    accepted: DataFrame
-    rejected: DataFrame
-    reading_audit: DataFrame
-    interval_audit: DataFrame
-    lifecycle_audit: DataFrame
-
-
 _FILE = ["guidFile", "owner", "readingsSource"]
 _STORED = [*S.VERSION_KEY, "readingsValue", "version", *versioning._KEPT]
 _REJECT_COLUMNS = [*S.READING_COLUMNS, "identReading", quality.REASON]
 
 
+class Cleaned:
+    """Accepted readings in final shape, rejected ones with their reason, and the audit
+    records of rejects and fills, of series, and of each file's start and end. What only
+    some of them need, the filled readings and the summary of series, is made and written
+    when the first of these is asked for."""
+
+    def __init__(self, flagged: DataFrame, decided: DataFrame, settings: Settings, stamp: str):
+        self._flagged, self._decided = flagged, decided
+        self._settings, self._stamp = settings, stamp
+
+    @cached_property
+    def _used(self) -> DataFrame:
+        fresh, _ = quality.split(self._decided)
+        return versioning.usage_reading(fresh.drop("copies"))
+
+    def _profile(self) -> DataFrame:
+        return intervals.quality_flag(self._used.filter(F.col("readingType") == fv.LOAD_PROFILE))
+
+    @cached_property
+    def _filled(self) -> DataFrame:
+        gaps = intervals.fill_gaps(self._profile())
+        return written(intervals.complete_fill(gaps, self._settings), "filled")
+
+    @cached_property
+    def _summary(self) -> DataFrame:
+        return intervals.series_summary(
+            self._filled, attributes=["readingType", "guidFile", "owner", "readingsSource"]
+        )
+
+    @cached_property
+    def accepted(self) -> DataFrame:
+        accepted = output.route_by_type(
+            self._used,
+            lambda _: output.final_projection(intervals.validate_intervals(self._filled, self._summary)),
+            lambda rows: output.final_projection(intervals.without_validation(rows)),
+        )
+        return output.final_casts(accepted)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        _, refused = quality.split(self._flagged)
+        _, refused_later = quality.split(self._decided)
+        return (
+            refused.select(*_REJECT_COLUMNS)
+            .unionByName(refused_later.select(*_REJECT_COLUMNS))
+            .unionByName(quality.reported_copies(self._decided).select(*_REJECT_COLUMNS))
+        )
+
+    @cached_property
+    def reading_audit(self) -> DataFrame:
+        # Of the gap rows it needs only what filling gives them.
+        filled = self._filled if "_filled" in vars(self) else intervals.fill_gaps(self._profile())
+        return audit.reading_audit(self.rejected, filled, self._settings, self._stamp)
+
+    @cached_property
+    def interval_audit(self) -> DataFrame:
+        return audit.interval_audit(self._summary, self._stamp, self._settings)
+
+    @cached_property
+    def lifecycle_audit(self) -> DataFrame:
+        # What is accepted, in the columns of its file: gap rows are counted, not made.
+        other = self._used.filter(~(F.col("readingType") == fv.LOAD_PROFILE))
+        counted = intervals.fill_counts(self._profile(), name="_rows")
+        after = other.select(*_FILE, F.lit(1).cast("long").alias("_rows")).unionByName(
+            counted.select(*_FILE, "_rows")
+        )
+        return audit.lifecycle_audit(
+            self._flagged, after, "clean", self._stamp, self._settings, rows="_rows"
+        )
+
+
 def clean(
     enriched: DataFrame,
     stored: DataFrame,
@@ -117,7 +177,7 @@ def clean(
     flagged = quality.require_utc(flagged)
     flagged = quality.reject_out_of_window(flagged, settings, as_of)
     flagged = written(flagged, "flagged")
-    passed, refused = quality.split(flagged)
+    passed, _ = quality.split(flagged)
 
     resolved = quality.resolve_duplicates(passed)
     if store.is_store(stored):
@@ -128,38 +188,4 @@ def clean(
         versioning.assign_version(resolved, versioning.latest_version(recent)),
         "decided",
     )
-    fresh, refused_later = quality.split(decided)
-    rejected = (
-        refused.select(*_REJECT_COLUMNS)
-        .unionByName(refused_later.select(*_REJECT_COLUMNS))
-        .unionByName(quality.reported_copies(decided).select(*_REJECT_COLUMNS))
-    )
-
-    used = versioning.usage_reading(fresh.drop("copies"))
-    profile = used.filter(F.col("readingType") == fv.LOAD_PROFILE)
-    filled = written(
-        intervals.complete_fill(
-            intervals.fill_gaps(intervals.quality_flag(profile)), settings
-        ),
-        "filled",
-    )
-    summary = intervals.series_summary(
-        filled, attributes=["readingType", "guidFile", "owner", "readingsSource"]
-    )
-    accepted = output.route_by_type(
-        used,
-        lambda _: output.final_projection(intervals.validate_intervals(filled, summary)),
-        lambda rows: output.final_projection(intervals.without_validation(rows)),
-    )
-    return Cleaned(
-        accepted=output.final_casts(accepted),
-        rejected=rejected,
-        reading_audit=audit.reading_audit(rejected, filled, settings, stamp),
-        interval_audit=audit.interval_audit(summary, stamp, settings),
-        # What is accepted, in the columns of its file, from the steps written above.
-        lifecycle_audit=audit.lifecycle_audit(
-            flagged,
-            used.filter(~(F.col("readingType") == fv.LOAD_PROFILE)).select(*_FILE).unionByName(filled.select(*_FILE)),
-            "clean", stamp, settings,
-        ),
-    )
+    return Cleaned(flagged, decided, settings, stamp)

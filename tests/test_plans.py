@@ -249,3 +249,28 @@ def test_segments_pass_the_rows_once(spark):
     """What numbers the stretches is one row per day and stretch, written before."""
     text = plan(iv.segment_summary(_series(spark, [("P", 0, 15), ("P", 1440, 60)]).withColumn("intervalMark", F.lit("1"))))
     assert "LocalTableScan" not in text and "ExistingRDD" not in text and "stretches-" in text
+
+
+def _cleaned(spark):
+    from pathlib import Path
+
+    from catalog.stages import _cleaned as cleaned
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("filled-*"))
+    return cleaned(spark, SF), lambda: set(folder.glob("filled-*")) - before
+
+
+def test_rejects_and_audits_make_no_filled_table(spark):
+    result, made = _cleaned(spark)
+    assert result.rejected.count() > 0 and result.reading_audit.count() > 0
+    assert result.lifecycle_audit.count() > 0 and not made()
+    assert result.accepted.count() > 0 and len(made()) == 1
+
+
+def test_fill_counts_are_the_rows_that_filling_makes(spark):
+    rows = [("LONG", 0, 1), ("LONG", 30_000, 1), ("P", 0, 15), ("P", 67, 15), ("P", 5000, 15), ("N", 0, 0), ("N", 90, 0)]
+    series = _series(spark, rows)
+    counted = iv.fill_counts(series).groupBy("servicePointId").agg(F.sum("rows"))
+    filled = iv.fill_gaps(series).groupBy("servicePointId").count()
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, filled.collect()))
