@@ -137,25 +137,25 @@ def e08(spark, sf):
     """The requests, read back from their JSON as one row per list entry."""
     requests = en.topology_request(event_readings(spark, sf), chunk=40)
     parsed = requests.select(F.from_json("request", _REQUEST).alias("r"))
-
-    def entries(name, label, detail):
-        rows = parsed.select("r.owner.*", F.explode(f"r.{name}").alias("e"))
-        return rows.select(
-            "guidFile", "owner", "hes", F.lit(name).alias("list"),
-            label(F.col("e")).alias("name"), detail(F.col("e")).cast("string").alias("detail"),
-        )
-
     join = lambda e, *names: F.concat_ws(" ", *[e.getField(n) for n in names])
-    return (
-        entries("servicePoint", lambda e: e.getField("servicePointId"), lambda e: F.lit(None))
-        .unionAll(entries("device", lambda e: e.getField("deviceId"),
-                          lambda e: join(e, "brand", "model", "deviceCategory")))
-        .unionAll(entries("relationDevice", lambda e: join(e, "servicePointId", "deviceId"),
-                          lambda e: e.getField("relationStartDate")))
-        .unionAll(entries("servicePointVariable",
-                          lambda e: join(e, "servicePointId", "variableId"),
-                          lambda e: e.getField("intervalSize")))
-    )
+    lists = {
+        "servicePoint": lambda e: (e.getField("servicePointId"), F.lit(None)),
+        "device": lambda e: (e.getField("deviceId"), join(e, "brand", "model", "deviceCategory")),
+        "relationDevice": lambda e: (join(e, "servicePointId", "deviceId"), e.getField("relationStartDate")),
+        "servicePointVariable": lambda e: (join(e, "servicePointId", "variableId"), e.getField("intervalSize")),
+    }
+    # The lists of a request side by side, so that its text is parsed once.
+    beside = parsed.select("r.owner.*", F.explode(F.arrays_zip(*[F.col(f"r.{n}") for n in lists])).alias("e"))
+    rows = []
+    for name, fields in lists.items():
+        entry = F.col(f"e.{name}")
+        label, detail = fields(entry)
+        row = F.struct(
+            F.lit(name).alias("list"), label.alias("name"), detail.cast("string").alias("detail")
+        )
+        rows.append(F.when(entry.isNotNull(), row))
+    each = beside.select("guidFile", "owner", "hes", F.explode(F.array(*rows)).alias("row"))
+    return each.filter(F.col("row").isNotNull()).select("guidFile", "owner", "hes", "row.*")
 
 
 _ENTRIES_SQL = """files AS (SELECT *, min(identReading) OVER (PARTITION BY guidFile, owner, deviceId) AS lowest FROM readings),

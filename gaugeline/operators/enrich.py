@@ -133,8 +133,12 @@ def topology_entries(
     The readings are passed once, reduced to their distinct devices and
     variables; the lists come from that small table."""
     told = dict.fromkeys([*FILE, *_DEVICE, *_RELATION, *PROFILE_VARIABLE])
-    condensed = df.groupBy(*told).agg(F.min(F.struct(*order)).alias("_first"))
-    known = written(condensed.select(*told, "_first.*"), "topology")
+    groups = df.groupBy(*told)
+    if len(order) == 1:  # a number or time alone: no rows are sorted for it
+        condensed = groups.agg(F.min(order[0]).alias(order[0]))
+    else:
+        condensed = groups.agg(F.min(F.struct(*order)).alias("_first")).select(*told, "_first.*")
+    known = written(condensed, "topology")
     lists = {
         "servicePoint": distinct_service_points(known, FILE),
         "device": distinct_devices(known, FILE, order),
@@ -152,8 +156,7 @@ def topology_entries(
             F.struct(*fields).alias(name),
         )
         entries = shaped if entries is None else entries.unionByName(shaped, allowMissingColumns=True)
-    placed = with_position(written(entries, "entries"), FILE, ["_list", "_fields"])
-    return placed.drop("_list", "_fields")
+    return with_position(written(entries, "entries"), FILE, ["_list", "_fields"], keep_order=False)
 
 
 def topology_request(

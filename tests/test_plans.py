@@ -274,3 +274,24 @@ def test_fill_counts_are_the_rows_that_filling_makes(spark):
     counted = iv.fill_counts(series).groupBy("servicePointId").agg(F.sum("rows"))
     filled = iv.fill_gaps(series).groupBy("servicePointId").count()
     assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, filled.collect()))
+
+
+def test_topology_request_is_parsed_once(spark):
+    from catalog import QUERIES
+
+    text = QUERIES["e08_topology_request"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1
+
+
+def test_least_order_of_topology_is_hashed(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(enrich, "written", lambda df, name: steps.append((name, plan(df))) or df)
+    enrich.topology_entries(event_readings(spark, SF))
+    assert "SortAggregate" not in dict(steps)["topology"]
+
+
+def test_position_gives_up_its_order(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "g string, o int").withColumn("v", F.col("o") * 10)
+    rows = keyed.with_position(df, ["g"], ["o"], keep_order=False)
+    assert rows.columns == ["g", "v", "position"]
+    assert sorted(map(tuple, rows.collect())) == [("a", 10, 0), ("a", 20, 1), ("b", 50, 0)]
