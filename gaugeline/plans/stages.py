@@ -21,9 +21,9 @@ from gaugeline.operators import audit, enrich as en, intervals, output, quality
 from gaugeline.operators import versioning
 from gaugeline.operators.flatten import (
     DEFAULT_KINDS,
-    KINDS,
     flatten_readings,
     project_readings,
+    read_schema,
 )
 from gaugeline.operators.readings import cast_readings, drop_unnamed
 from gaugeline.settings import Settings
@@ -43,8 +43,7 @@ def translate(
     """XML files to flat readings, in one scan of the files. Elements that do not
     parse give no reading; ``unparsed`` returns them."""
     kinds = tuple(kinds)
-    sections = {KINDS[kind].path[0] for kind in kinds}
-    documents = read_readings_xml(spark, path, sections, split_files)
+    documents = read_readings_xml(spark, path, None, split_files, read_schema(kinds))
     elements = flatten_readings(with_source_keys(documents, root), kinds)
     return cast_readings(project_readings(drop_unnamed(elements)))
 
