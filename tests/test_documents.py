@@ -1,11 +1,14 @@
 """What is read of a document, and where its columns are made."""
 
+import glob
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
-from catalog.documents import _keyed, meter_documents, readings_of
+from catalog.documents import _escaped, _keyed, _xml_folder, meter_documents, readings_of
 from gaugeline import schema as S
-from gaugeline.operators.flatten import DEFAULT_KINDS, KINDS, flatten_readings, read_schema
+from gaugeline.operators.flatten import DEFAULT_KINDS, flatten_readings, read_schema
 from gaugeline.sources.documents import document_schema, read_readings_xml, with_source_keys
 
 SF = "/root/testdata/sf0.001"
@@ -50,7 +53,7 @@ def test_unread_parts_change_no_reading(spark, tmp_path, split_files):
     # three intervals, and a status of the meter that is known by its location alone.
     assert len(whole) == 10
     assert rows(DEFAULT_KINDS, read_schema()) == whole
-    for name in KINDS:
+    for name in ("status", "previous_outage_count", "event_attribute", "interval"):
         assert rows([name], read_schema([name])) == rows([name], None)
 
 
@@ -92,3 +95,29 @@ def test_prefix_of_flat_readings(spark):
     elements = flatten_readings(_keyed(meter_documents(spark, SF, ["DemandReset"])), ["demand_reset"])
     assert {"servicePointId", "model", "guidFile", "variableId", "quality"} <= set(elements.columns)
     assert elements.filter(F.col("serial").isNotNull()).count() > 0
+
+
+@pytest.mark.parametrize("sections", [None, ["MaxDemandData", "IntervalData"]], ids=["all", "two"])
+def test_files_are_those_of_the_xml_writer(spark, tmp_path, sections):
+    """Every element as Spark's writer has it, in sound files of about equal size."""
+    docs = meter_documents(spark, SF, sections)
+    options = {"rootTag": S.ROOT_TAG, "rowTag": S.ROW_TAG, "attributePrefix": "_", "valueTag": S.VALUE_TAG}
+    docs.write.format("xml").options(**options).save(str(tmp_path / "spark"))
+    root = _xml_folder(spark, SF, sections).removeprefix("file:")
+    written = {}
+    for name, opened, pattern in (
+        ("spark", open, f"{tmp_path}/spark/part-*"),
+        ("compiled", gzip.open, f"{root}/OWNER/HES/day/part-*.gz"),
+    ):
+        texts = [opened(path, "rt", encoding="utf-8").read().rstrip("\n") for path in glob.glob(pattern)]
+        heads = {text.split("    <MeterReadings ")[0] for text in texts}
+        assert all(text.endswith("\n</AMRDEF>") for text in texts)
+        records = [text.removesuffix("\n</AMRDEF>").split("    <MeterReadings ")[1:] for text in texts]
+        written[name] = heads, sorted(record.rstrip("\n") for part in records for record in part)
+    assert written["compiled"] == written["spark"]
+    assert max(map(len, records)) - min(map(len, records)) <= 4
+
+
+def test_texts_of_the_table_are_escaped(spark):
+    row = spark.createDataFrame([('a<b&"c"\n',)], "text string").select(_escaped(F.col("text"))).first()
+    assert row[0] == "a&lt;b&amp;&quot;c&quot;&#xa;"
