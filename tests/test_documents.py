@@ -97,7 +97,7 @@ def test_prefix_of_flat_readings(spark):
     assert elements.filter(F.col("serial").isNotNull()).count() > 0
 
 
-@pytest.mark.parametrize("sections", [None, ["MaxDemandData", "IntervalData"]], ids=["all", "two"])
+@pytest.mark.parametrize("sections", [None, ["MaxDemandData", "IntervalData"], ["MaxDemandData"]], ids=["all", "two", "one"])
 def test_files_are_those_of_the_xml_writer(spark, tmp_path, sections):
     """Every element as Spark's writer has it, in sound files of about equal size."""
     docs = meter_documents(spark, SF, sections)
